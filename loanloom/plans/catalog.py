@@ -1,6 +1,10 @@
 """All registered queries; importing the modules fills the registry."""
 
-from loanloom.plans import quality_queries, ranking_queries  # noqa: F401
+from loanloom.plans import (  # noqa: F401
+    quality_queries,
+    ranking_queries,
+    stats_queries,
+)
 from loanloom.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
