@@ -168,23 +168,29 @@ class NeighbourModel:
             for j in range(dim)
         ]
 
+    def _expected_distance(self, mask: str) -> float:
+        """Half width of a box over the pattern's features that would hold ``k`` donors if
+        each feature were spread evenly over its middle half."""
+        present_facts = [f for f, bit in zip(self.facts, mask, strict=True) if bit == "1" and f["n"]]
+        spreads = [2 * (f["q"][1] - f["q"][0]) or f["high"] - f["low"] for f in present_facts]
+        spreads = [s for s in spreads if s > 0]
+        if not spreads:
+            return 1.0
+        wanted = min(1.0, self.imputer.k / max(f["n"] for f in present_facts))
+        low, high = 0.0, max(spreads)
+        for _ in range(60):
+            mid = (low + high) / 2
+            if math.prod(min(1.0, 2 * mid / s) for s in spreads) < wanted:
+                low = mid
+            else:
+                high = mid
+        return high
+
     def _start_radius(self, donors: DataFrame, masks: list[str]) -> float:
         if self.imputer.start_radius:
             return self.imputer.start_radius
-        guesses = []
-        for mask in masks:
-            dims = [i for i in self.order if mask[i] == "1"][: self.imputer.grid_features]
-            spreads = []
-            for i in dims:
-                f = self.facts[i]
-                if f["n"]:
-                    iqr = f["q"][1] - f["q"][0]
-                    spreads.append(iqr or (f["high"] - f["low"]) or 1.0)
-            if spreads:
-                n = max(self.facts[i]["n"] for i in dims)
-                share = (self.imputer.k / max(n, self.imputer.k)) ** (1 / len(spreads))
-                guesses.append(math.exp(sum(map(math.log, spreads)) / len(spreads)) * share / 2)
-        radius = min(guesses) if guesses else 1.0
+        guesses = [self._expected_distance(mask) for mask in masks]
+        radius = min(guesses)
         names = [f"c{j}" for j in range(self.imputer.grid_features)]
         for _ in range(20):
             cells = donors.select("qmask", "dims", *[
@@ -199,7 +205,10 @@ class NeighbourModel:
         k, n, dim = self.imputer.k, len(self.features), self.imputer.grid_features
         names = [f"c{j}" for j in range(dim)]
         donors = self._donors_for(masks)
-        groups = donors.select("qmask", "dims").distinct()
+        # a few feature triples per pattern
+        groups = queries.sparkSession.createDataFrame(
+            donors.select("qmask", "dims").distinct().collect(), "qmask string, dims array<int>")
+        spread = queries.sparkSession.sparkContext.defaultParallelism
         ends = queries.agg(*[F.max(F.abs(F.col("x")[i])).alias(f"m{i}") for i in range(n)]).first()
         reach = 1.0 + max(
             [abs(v) for f in self.facts for v in (f["low"], f["high"]) if v is not None]
@@ -218,7 +227,8 @@ class NeighbourModel:
                 "qmask", "dims", F.col("id").alias("donor"), F.col("x").alias("d"),
                 *[c.alias(c_name) for c, c_name in zip(self._cells(radius), names, strict=True)],
             )
-            probes = open_rows.join(groups, "qmask").select("*", *[
+            # few rows may be left, each with many comparisons to make
+            probes = open_rows.repartition(spread).join(groups, "qmask").select("*", *[
                 c.alias(c_name) for c, c_name in zip(self._cells(radius), names, strict=True)])
             for j, c_name in enumerate(names):
                 near = F.when(F.size("dims") > j, F.sequence(F.col(c_name) - 1, F.col(c_name) + 1))
@@ -233,20 +243,21 @@ class NeighbourModel:
                     f.alias("feature"), F.get("d", f).alias("value"))),
                 lambda s: s["value"].isNotNull(),
             )
-            scored = pairs.select(
-                "id", "n_present", "donor", F.sqrt(F.lit(float(n)) / compared * squares).alias("dist"),
-                F.explode(values).alias("v"),
-            ).select("id", "n_present", "donor", "dist", "v.*")
-            nearest = Window.partitionBy("id", "feature").orderBy("dist", "donor")
+            scored = pairs.withColumn("dist", F.sqrt(F.lit(float(n)) / compared * squares))
+            if not last:
+                # a donor outside the searched box is farther than this, so a row with k
+                # donors within it is final, and donors beyond it cannot matter yet
+                scored = scored.where(F.col("dist") <= F.lit(radius) * F.sqrt(
+                    F.lit(float(n)) / F.col("n_present")))
+            scored = scored.select("id", "donor", "dist", F.explode(values).alias("v"))
+            nearest = Window.partitionBy("id", "v.feature").orderBy("dist", "donor")
             best = (
                 scored.withColumn("position", F.row_number().over(nearest))
                 .where(F.col("position") <= k)
-                .groupBy("id", "feature").agg(
-                    F.avg("value").alias("value"), F.count(F.lit(1)).alias("n"),
-                    F.max("dist").alias("far"), F.first("n_present").alias("n_present"))
+                .groupBy("id", "v.feature").agg(
+                    F.avg("v.value").alias("value"), F.count(F.lit(1)).alias("n"))
             )
-            sure = F.lit(True) if last else (F.col("n") == k) & (
-                F.col("far") <= F.lit(radius) * F.sqrt(F.lit(float(n)) / F.col("n_present")))
+            sure = F.lit(True) if last else F.col("n") == k
             done = stage(best.where(sure).select("id", "feature", "value"), "neighbours")
             yield done
             if last:

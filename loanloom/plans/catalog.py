@@ -4,6 +4,7 @@ from loanloom.plans import (  # noqa: F401
     encode_queries,
     quality_queries,
     ranking_queries,
+    scoring_queries,
     stats_queries,
 )
 from loanloom.plans.registry import ORACLES, QUERIES
