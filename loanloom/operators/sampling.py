@@ -19,12 +19,21 @@ CUT_ROWS = 200_000
 MAX_CLASSES = 10_000
 
 
-def hash_key(id_column: str, seed: int) -> Column:
-    """Hash text that orders rows at random but reproducibly; the id breaks ties."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_column).cast("string")))
+def hash_key(id_column: str, seed: int, use: str = "") -> Column:
+    """Hash text that orders rows at random but reproducibly; the id breaks ties.
+
+    ``use`` separates draws: rows split in one order must be drawn again in another.
+    """
+    digest = F.md5(F.concat(F.lit(f"{seed}:{use}"), F.col(id_column).cast("string")))
     return F.concat(digest, F.lit(":"), F.col(id_column).cast("string"))
 
 
+def hash_unit(id_column: str, seed: int, use: str) -> Column:
+    """Uniform number in [0, 1) from the row's hash."""
+    digits = F.substring(hash_key(id_column, seed, use), 1, 8)
+    return F.conv(digits, 16, 10).cast("double") / float(2**32)
+
+
 def _cut_keys(
     keyed: DataFrame, ranks: dict[str, list[int]], cut_rows: int
 ) -> dict[tuple[str, int], str]:
@@ -153,7 +162,5 @@ def stratified_split(
 
 def hash_folds(df: DataFrame, id_column: str, folds: int, seed: int = 42, output="fold"):
     """Add a fold number from the row's hash: no shuffle, near-equal sizes."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:fold:"), F.col(id_column).cast("string")))
     return df.withColumn(
-        output, (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % folds).cast("int")
-    )
+        output, F.floor(hash_unit(id_column, seed, "fold:") * folds).cast("int"))

@@ -2,6 +2,7 @@
 
 from loanloom.plans import (  # noqa: F401
     encode_queries,
+    model_queries,
     quality_queries,
     ranking_queries,
     scoring_queries,
