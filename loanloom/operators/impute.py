@@ -97,6 +97,19 @@ def _has(mask: str, i: int) -> Column:
     return F.substring(mask, i + 1, 1) == "1"
 
 
+def _distance(a: str, b: str, n: int) -> Column:
+    """Euclidean distance over the places both arrays fill, scaled up to ``n`` places."""
+    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
+    # one fold: an unrolled sum would be evaluated anew for every use in the plan
+    return F.aggregate(
+        squares, F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n")),
+        lambda acc, v: F.struct(
+            (acc["sum"] + F.coalesce(v, F.lit(0.0))).alias("sum"),
+            (acc["n"] + v.isNotNull().cast("int")).alias("n")),
+        lambda acc: F.sqrt(F.lit(float(n)) / acc["n"] * acc["sum"]),
+    )
+
+
 @dataclass
 class NeighbourModel:
     imputer: NeighbourImputer
@@ -235,15 +248,12 @@ class NeighbourModel:
                 probes = probes.withColumn(
                     c_name, F.explode(F.coalesce(near, F.array(F.col(c_name)))))
             pairs = probes.join(laid, ["qmask", "dims", *names])
-            gap = [F.col("x")[i] - F.col("d")[i] for i in range(n)]
-            squares = sum((F.coalesce(g * g, F.lit(0.0)) for g in gap), F.lit(0.0))
-            compared = sum((g.isNotNull().cast("int") for g in gap), F.lit(0))
             values = F.filter(
                 F.transform("open", lambda f: F.struct(
                     f.alias("feature"), F.get("d", f).alias("value"))),
                 lambda s: s["value"].isNotNull(),
             )
-            scored = pairs.withColumn("dist", F.sqrt(F.lit(float(n)) / compared * squares))
+            scored = pairs.withColumn("dist", _distance("x", "d", n))
             if not last:
                 # a donor outside the searched box is farther than this, so a row with k
                 # donors within it is final, and donors beyond it cannot matter yet

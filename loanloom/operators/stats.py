@@ -17,6 +17,7 @@ from loanloom.functions.tails import chi2_upper, fisher_two_sided, mann_whitney_
 from loanloom.operators.rank import adjust_p_values, class_histogram, prefix_sum
 from loanloom.operators.resampling import bootstrap_delta, resample_tables
 from loanloom.operators.summary import crosstab
+from loanloom.session import stage
 
 OTHER = "Other"
 MANY_CATEGORIES = 10
@@ -104,6 +105,8 @@ def pool_rare(counts: DataFrame) -> DataFrame:
     else, missing values included, is pooled.  Otherwise categories with fewer rows than
     the larger of 1 % and 5 are pooled and missing values are left out.
     """
+    # read three times below
+    counts = stage(counts, "category_counts")
     n = F.col("n0") + F.col("n1")
     facts = counts.groupBy("feature").agg(
         F.count("category").alias("n_categories"), F.sum(n).alias("n_rows")

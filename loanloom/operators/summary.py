@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +10,6 @@ from pyspark.sql import functions as F
 
 from loanloom.functions.scalars import present
 from loanloom.functions.tails import t_quantile
-from loanloom.operators.quality import EXPRESSIONS_PER_JOB, guarded_correlation
 from loanloom.operators.quantiles import exact_quantiles
 
 MAX_LEVELS = 1_000
@@ -60,17 +58,30 @@ def category_by_target(df: DataFrame, category: str, target: str) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long ``x, y, r`` over all pairs, pairwise complete, undefined as null.
 
-    Each job computes a block of pairs in one pass.
+    Each row is unfolded into its pairs of present values, which meet in partial
+    aggregates before the shuffle; the plan stays small however many columns there are.
     """
-    pairs = list(combinations_with_replacement(columns, 2))
-    found = []
-    for start in range(0, len(pairs), EXPRESSIONS_PER_JOB // 4):
-        block = pairs[start:start + EXPRESSIONS_PER_JOB // 4]
-        row = df.agg(*[guarded_correlation(present(a), present(b)).alias(f"r{i}")
-                       for i, (a, b) in enumerate(block)]).first()
-        found += [(a, b, row[f"r{i}"]) for i, (a, b) in enumerate(block)]
-    both = found + [(b, a, r) for a, b, r in found if a != b]
-    return df.sparkSession.createDataFrame(both, "x string, y string, r double")
+    names = list(columns)
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), present(c).alias("v"))
+                      for i, c in enumerate(names)])
+    filled = F.filter(cells, lambda s: s["v"].isNotNull())
+    pairs = (
+        df.select(filled.alias("cells")).select("cells", F.explode("cells").alias("a"))
+        .select("a", F.explode(F.filter("cells", lambda s: s["i"] >= F.col("a.i"))).alias("b"))
+        .select(F.col("a.i").alias("i"), F.col("b.i").alias("j"),
+                F.col("a.v").alias("x"), F.col("b.v").alias("y"))
+    )
+    spread = F.stddev_samp("x") * F.stddev_samp("y")
+    found = pairs.groupBy("i", "j").agg(
+        (F.covar_samp("x", "y") / F.nullif(spread, F.lit(0.0))).alias("r"))
+    # every ordered pair of column numbers
+    k = len(names)
+    grid = df.sparkSession.range(k * k, numPartitions=1).select(
+        F.floor(F.col("id") / k).cast("int").alias("p"), (F.col("id") % k).cast("int").alias("q"))
+    label = F.array(*[F.lit(n) for n in names])
+    return grid.join(
+        found, (F.least("p", "q") == F.col("i")) & (F.greatest("p", "q") == F.col("j")), "left"
+    ).select(F.get(label, F.col("p")).alias("x"), F.get(label, F.col("q")).alias("y"), "r")
 
 
 def value_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
