@@ -38,15 +38,21 @@ def bucketed(df: DataFrame, edges: dict[str, Sequence[float]], suffix: str = "__
 
 
 def _ranks(n: int, probs: Sequence[float]) -> list[tuple[int, int, float]]:
-    """Per probability the two zero-based ranks and the weight of the upper one."""
+    """Per probability the two zero-based ranks and the exact position between them."""
     out = []
     for p in probs:
         position = p * (n - 1)
         low = min(int(math.floor(position)), n - 1)
-        out.append((low, min(low + 1, n - 1), position - low))
+        out.append((low, min(low + 1, n - 1), position))
     return out
 
 
+def _between(low: int, high: int, position: float, at_low: float, at_high: float) -> float:
+    if high == low or position == low:
+        return at_low
+    return (high - position) * at_low + (position - low) * at_high
+
+
 def _matches(x: Column, interval: tuple[float, float]) -> Column:
     low, high = interval
     inside = x.isNotNull()
@@ -187,7 +193,7 @@ def exact_quantiles(
         )
         for c in big:
             out[c] = [
-                values[(c, lo)] + w * (values[(c, hi)] - values[(c, lo)]) for lo, hi, w in plan[c]
+                _between(lo, hi, at, values[(c, lo)], values[(c, hi)]) for lo, hi, at in plan[c]
             ]
     return {c: out[c] for c in columns}
 
