@@ -218,7 +218,8 @@ def permutation_importances(
         moved = rows.select(
             ((F.col("before_n") + shift) % total).alias("before_n"),
             *[F.col(f).alias(f"__{f}") for f in features])
-        both = rows.join(moved, "before_n")
+        # read once per feature below
+        both = stage(rows.join(moved, "before_n"), "shifted")
         for f in features:
             variant = both.withColumn(f, F.col(f"__{f}")).drop(*[f"__{g}" for g in features])
             hit = (F.col("prediction") == F.col(LABEL)).cast("double")

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from loanloom.functions.scalars import bin_by_edges, present
 
 DIRECT_ROWS = 500_000
+BLOCK_ROWS = 4_000_000
 GRID = 512
 
 
@@ -152,6 +153,19 @@ def _ranks_in_small(df, work) -> dict:
     return out
 
 
+def _blocks(columns: list[str], sizes: dict[str, int]) -> list[list[str]]:
+    """Columns whose buffers fit one task together."""
+    blocks: list[list[str]] = []
+    held = 0
+    for c in columns:
+        if not blocks or held + sizes[c] > BLOCK_ROWS:
+            blocks.append([])
+            held = 0
+        blocks[-1].append(c)
+        held += sizes[c]
+    return blocks
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -174,11 +188,10 @@ def exact_quantiles(
         return {c: list(got[c]) if got[c] else [None] * len(probs) for c in columns}
     sizes = clean.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
     out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns if not sizes[c]}
-    direct = [c for c in columns if 0 < sizes[c] <= direct_rows]
-    if direct:
+    for block in _blocks([c for c in columns if 0 < sizes[c] <= direct_rows], sizes):
         row = clean.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c)
-                          for c in direct]).first()
-        out.update({c: list(row[c]) for c in direct})
+                          for c in block]).first()
+        out.update({c: list(row[c]) for c in block})
     big = [c for c in columns if sizes[c] > direct_rows]
     if big:
         plan = {c: _ranks(sizes[c], probs) for c in big}

@@ -76,6 +76,10 @@ def prefix_sum(
 
     ``hist`` has one row per key and order value, and ``part`` grows with the order value.
     """
+    # the join below implies these filters on one side only; stated here they apply to both
+    # sides, which keeps the aggregated exchange under ``hist`` shared instead of run twice
+    for c in [*keys, part]:
+        hist = hist.where(F.col(c).isNotNull())
     direction = F.desc if descending else F.asc
     inside = (
         Window.partitionBy(*keys, part).orderBy(direction(order))

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from loanloom.operators import models, sampling, tuning
 from loanloom.operators.features import create_derived_features
-from loanloom.plans.applications import applications
+from loanloom.plans.applications import applications, split_tables
 from loanloom.plans.quality_queries import rounded
 from loanloom.plans.registry import query
+from loanloom.plans.training import ESSENTIAL, TrainingFlow
 from loanloom.session import shared_path, stage
 from loanloom.sources.models import load_checkpoint, save_checkpoint
 from loanloom.sources.tables import submission
@@ -100,3 +101,18 @@ def tuning_trials(spark, sf_dir):
         overrides={"n_estimators": ("int", 5, 10), "max_depth": ("int", 3, 5)})
     return result.trials.join(result.metrics.select(
         F.col("f2_score").alias("test_f2"), F.lit(result.f2_score).alias("f2_score")), "f2_score", "left")
+
+
+@query("prepared_training_table")
+def prepared_training_table(spark, sf_dir):
+    """All preparation steps in a row, from applications with gaps to encoded numbers."""
+    apps = stage(applications(spark, sf_dir).select(
+        "sk_id_curr", "dataset", TARGET, "amt_income_total", "amt_credit", "amt_annuity",
+        "amt_goods_price", "days_birth", "days_id_publish", "name_income_type", "name_type_suite",
+        "code_gender", "flag_own_car", "region_rating_client", "organization_type",
+        "weekday_appr_process_start"), "raw")
+    train, test = split_tables(apps)
+    flow = TrainingFlow(
+        TARGET, essential=[*ESSENTIAL, "days_birth"], binary=["code_gender", "flag_own_car"],
+        categorical=["name_income_type", "name_type_suite", "weekday_appr_process_start"])
+    return flow.run(train, test.drop(TARGET)).train

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loanloom.functions.scalars import replace_infinite
 from loanloom.operators import features, outliers, quality, schema, summary
 from loanloom.operators.quantiles import fit_quantile_bins
+from loanloom.operators.stats import binary_target
 from loanloom.plans.applications import NUMERIC, applications, split_tables
 from loanloom.plans.registry import query
-from loanloom.sources import tables
 from loanloom.session import shared_path, stage
+from loanloom.sources import tables
 
 
 def rounded(df, *names, digits=6):
@@ -142,8 +144,6 @@ SELECT sk_id_curr, CASE WHEN amt_income_total = 0 THEN 1e6::DOUBLE
 def infinity_replaced(spark, sf_dir):
     income = F.col("amt_income_total")
     raw = F.when(income == 0, F.lit(float("inf"))).otherwise(F.try_divide("amt_credit", income))
-    from loanloom.functions.scalars import replace_infinite
-
     return applications(spark, sf_dir).select("sk_id_curr", replace_infinite(raw).alias("ratio"))
 
 
@@ -546,3 +546,64 @@ WHERE CAST(amt_goods_price IS NULL AS INTEGER) + CAST(name_type_suite IS NULL AS
 def ext_rows_without_gaps(spark, sf_dir):
     apps = applications(spark, sf_dir).select("sk_id_curr", "amt_goods_price", "name_type_suite")
     return quality.drop_missing(apps, max_row_ratio=0.0)
+
+
+@query("dropped_columns", """
+SELECT amt_credit, code_gender FROM application""")
+def dropped_columns(spark, sf_dir):
+    apps = applications(spark, sf_dir).select(
+        "sk_id_curr", "target", "organization_type", "amt_credit", "code_gender")
+    return schema.drop_columns(apps, ["organization_type", "target", "sk_id_curr"])
+
+
+@query("class_split", """
+SELECT target_signal, count(*) AS n, count(ext_source_2) AS n_scored, round(avg(amt_credit), 4) AS credit
+FROM application GROUP BY 1""")
+def class_split(spark, sf_dir):
+    return applications(spark, sf_dir).groupBy("target_signal").agg(
+        F.count(F.lit(1)).alias("n"), F.count("ext_source_2").alias("n_scored"),
+        F.round(F.avg("amt_credit"), 4).alias("credit"))
+
+
+@query("union_train_validation", """
+SELECT dataset, count(*) AS n FROM (SELECT dataset FROM application WHERE dataset = 'train'
+  UNION ALL SELECT dataset FROM application) GROUP BY 1""")
+def union_train_validation(spark, sf_dir):
+    """Stacking keeps duplicates."""
+    apps = applications(spark, sf_dir).select("dataset")
+    return apps.where("dataset = 'train'").unionByName(apps).groupBy("dataset").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("target_codes", """
+SELECT sk_id_curr, CASE WHEN target_signal = 1 THEN 1 ELSE 0 END AS code FROM application""")
+def target_codes(spark, sf_dir):
+    """A text target with the values 3 and 7 becomes 0 and 1."""
+    apps = applications(spark, sf_dir).select(
+        "sk_id_curr", F.when(F.col("target_signal") == 1, "7").otherwise("3").alias("answer"))
+    return apps.select("sk_id_curr", binary_target(apps, "answer").alias("code"))
+
+
+@query("missing_ratio_filter", ", m AS (" + each(_ALL, """
+SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) * 1.0::DOUBLE / count(*) AS r
+FROM application""") + ") SELECT column_name FROM m WHERE r <= 0.01")
+def missing_ratio_filter(spark, sf_dir):
+    kept = quality.filter_by_missing(applications(spark, sf_dir).select(*_ALL), 0.01)
+    return spark.createDataFrame([(c,) for c in kept], "column_name string")
+
+
+@query("variance_filter", ", m AS (" + each(NUMERIC, """
+SELECT '{c}' AS column_name, var_samp({c}) AS v FROM application""")
+       + ") SELECT column_name FROM m WHERE v > 1.0")
+def variance_filter(spark, sf_dir):
+    kept = quality.filter_by_variance(applications(spark, sf_dir).select(*NUMERIC), NUMERIC, 1.0)
+    return spark.createDataFrame([(c,) for c in kept], "column_name string")
+
+
+@query("correlation_filter", ", m AS (" + each(NUMERIC, """
+SELECT '{c}' AS column_name, abs(corr({c}, target_signal)) AS r FROM application""")
+       + ") SELECT column_name FROM m WHERE r >= 0.05")
+def correlation_filter(spark, sf_dir):
+    apps = applications(spark, sf_dir).select("target_signal", *NUMERIC)
+    kept = quality.filter_by_correlation(apps, NUMERIC, "target_signal", 0.05)
+    return spark.createDataFrame([(c,) for c in kept], "column_name string")
