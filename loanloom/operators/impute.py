@@ -139,15 +139,18 @@ class NeighbourModel:
             _vectors(df, self.features, self.imputer.id_column)
             .where(F.instr("mask", "0") > 0).where(F.instr("mask", "1") > 0), "gaps",
         )
-        # one short text per pattern of missing values
-        masks = sorted(r[0] for r in gaps.select("mask").distinct().collect())
         found = spark.createDataFrame([], gaps.selectExpr(
             "id", "0 as feature", "0D as value").schema)
-        for start in range(0, len(masks), PATTERNS_AT_ONCE):
-            block = masks[start:start + PATTERNS_AT_ONCE]
+        last = ""
+        while True:
+            # patterns of missing values in order, a bounded number of short texts at a time
+            block = [r["mask"] for r in gaps.where(F.col("mask") > last).select("mask").distinct()
+                     .orderBy("mask").limit(PATTERNS_AT_ONCE).collect()]
+            if not block:
+                return found
             for part in self._search(gaps.where(F.col("mask").isin(block)), block):
                 found = found.unionByName(part)
-        return found
+            last = block[-1]
 
     def _donors_for(self, masks: list[str]) -> DataFrame:
         """Donors per query pattern, with the grid features of the pair.

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from loanloom.functions.scalars import present
 from loanloom.operators.quantiles import bucketed
 
-RANGES = 64
+FEWEST_RANGES = 16
+MOST_RANGES = 20_000
+ROWS_PER_RANGE = 250_000
 
 
-def range_edges(df: DataFrame, columns: Sequence[str], ranges: int = RANGES) -> dict:
+def range_edges(df: DataFrame, columns: Sequence[str], ranges: int) -> dict:
     """Approximate quantiles of each column, one pass for all; only used to cut work."""
     probs = [i / ranges for i in range(1, ranges)]
     row = df.agg(
@@ -30,8 +32,8 @@ def range_edges(df: DataFrame, columns: Sequence[str], ranges: int = RANGES) ->
 
 
 def ranges_for(df: DataFrame) -> int:
-    """More ranges on bigger sessions: a few per shuffle partition."""
-    return max(RANGES, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Enough ranges that one of them stays small however large the table is."""
+    return min(MOST_RANGES, max(FEWEST_RANGES, df.count() // ROWS_PER_RANGE))
 
 
 def value_histogram(
