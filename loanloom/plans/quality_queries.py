@@ -221,12 +221,13 @@ def duplicated_rows(spark, sf_dir):
 @query("describe_numeric", each(NUMERIC, """
 SELECT '{c}' AS feature, count({c}) AS n, count(*) - count({c}) AS n_missing,
   round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, CAST(min({c}) AS DOUBLE) AS min,
-  CAST(max({c}) AS DOUBLE) AS max, round(CAST(quantile_cont({c}, 0.25) AS DOUBLE), 4) AS q1,
-  round(CAST(quantile_cont({c}, 0.5) AS DOUBLE), 4) AS median,
-  round(CAST(quantile_cont({c}, 0.75) AS DOUBLE), 4) AS q3 FROM application"""))
+  CAST(max({c}) AS DOUBLE) AS max, round(CAST(quantile_cont({c}, 0.25) AS DOUBLE), 8) AS q1,
+  round(CAST(quantile_cont({c}, 0.5) AS DOUBLE), 8) AS median,
+  round(CAST(quantile_cont({c}, 0.75) AS DOUBLE), 8) AS q3 FROM application"""))
 def describe_numeric(spark, sf_dir):
     apps = stage(applications(spark, sf_dir).select(*NUMERIC))
-    return rounded(quality.describe_numeric(apps), "mean", "std", "q1", "median", "q3", digits=4)
+    out = rounded(quality.describe_numeric(apps), "mean", "std", digits=4)
+    return rounded(out, "q1", "median", "q3", digits=8)
 
 
 @query("value_counts_share", """
@@ -334,8 +335,8 @@ def engineered_features(spark, sf_dir):
 
 _FENCED = ["amt_income_total", "amt_credit", "amt_goods_price", "ext_source_2", "ext_source_3"]
 _FENCE_SQL = ", fence AS (" + each(_FENCED, """
-SELECT '{c}' AS feature, 2.5 * quantile_cont({c}, 0.25) - 1.5 * quantile_cont({c}, 0.75) AS lo,
-  2.5 * quantile_cont({c}, 0.75) - 1.5 * quantile_cont({c}, 0.25) AS hi FROM application""") + """),
+SELECT '{c}' AS feature, q1 - 1.5::DOUBLE * (q3 - q1) AS lo, q3 + 1.5::DOUBLE * (q3 - q1) AS hi
+FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM application)""") + """),
 wide AS (SELECT """ + ", ".join(
     f"max(lo) FILTER (feature = '{c}') AS lo_{c}, max(hi) FILTER (feature = '{c}') AS hi_{c}"
     for c in _FENCED) + " FROM fence)"
@@ -343,10 +344,10 @@ _OUTSIDE_SQL = " OR ".join(f"coalesce({c} < lo_{c} OR {c} > hi_{c}, false)" for
 
 
 @query("iqr_fences", _FENCE_SQL + """
-SELECT feature, round(lo, 4) AS lower_fence, round(hi, 4) AS upper_fence FROM fence""")
+SELECT feature, round(lo, 8) AS lower_fence, round(hi, 8) AS upper_fence FROM fence""")
 def iqr_fences(spark, sf_dir):
     apps = stage(applications(spark, sf_dir).select(*_FENCED))
-    return rounded(outliers.fences_table(apps, _FENCED), "lower_fence", "upper_fence", digits=4)
+    return rounded(outliers.fences_table(apps, _FENCED), "lower_fence", "upper_fence", digits=8)
 
 
 @query("iqr_anomalies", _FENCE_SQL + f"""
@@ -413,7 +414,7 @@ def histogram_by_class(spark, sf_dir):
 
 
 @query("box_summary", each(["amt_credit", "ext_source_3"], """
-SELECT '{c}' AS feature, round(q1, 4) AS q1, round(q2, 4) AS median, round(q3, 4) AS q3,
+SELECT '{c}' AS feature, round(q1, 8) AS q1, round(q2, 8) AS median, round(q3, 8) AS q3,
   round(avg({c}), 4) AS mean, round(stddev_pop({c}), 4) AS std,
   min({c}) FILTER ({c} >= q1 - 1.5 * (q3 - q1)) AS whisker_low,
   max({c}) FILTER ({c} <= q3 + 1.5 * (q3 - q1)) AS whisker_high
@@ -421,8 +422,8 @@ FROM application, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5
   quantile_cont({c}, 0.75) AS q3 FROM application) GROUP BY q1, q2, q3"""))
 def box_summary(spark, sf_dir):
     apps = stage(applications(spark, sf_dir).select("amt_credit", "ext_source_3"))
-    return rounded(summary.box_summary(apps, ["amt_credit", "ext_source_3"]),
-                   "q1", "median", "q3", "mean", "std", digits=4)
+    out = rounded(summary.box_summary(apps, ["amt_credit", "ext_source_3"]), "mean", "std", digits=4)
+    return rounded(out, "q1", "median", "q3", digits=8)
 
 
 @query("distribution_before_after", """, f AS (SELECT avg(amt_goods_price) AS m FROM application),
