@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import bpe
+from loanloom.llm import bpe, substring, suffixes
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -28,3 +28,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op5_bpe_round_trip(spark, sf_dir):
     return bpe.round_trip(read(spark, sf_dir, "documents"), RANKS)
+
+
+@query
+def op2_lempel_ziv_dedup(spark, sf_dir):
+    return substring.kept_words(read(spark, sf_dir, "documents"))
+
+
+@query
+def op7_radix_suffix_dedup(spark, sf_dir):
+    return suffixes.kept_bytes(read(spark, sf_dir, "documents"))

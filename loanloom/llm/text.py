@@ -176,12 +176,13 @@ def table(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
     """``id`` and ``tk``, never null and together unique up to repeated rows, then ``doc_id`` and ``text``.
 
     ``id`` is ``doc_id``; where that is missing or shared by several rows (found by one
     count over the ids), ``tk`` is a hash of the text that tells them apart, else 0.
-    Null sorts first.  Rows that share number and text are one document.
+    Null sorts first.  Rows that share number and text are one document.  Also says whether
+    every row has a number of its own, so that no row can be repeated.
     """
     n, some, distinct = docs.agg(
         F.count("*"), F.count("doc_id"), F.count_distinct("doc_id")).first()
@@ -190,4 +191,4 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.coalesce(number, F.lit(-(1 << 63))).alias("id"),
         (F.lit(0).cast("long") if plain else F.xxhash64("text", number.isNull())).alias("tk"),
-        number.alias("doc_id"), F.col("text").cast("string").alias("text"))
+        number.alias("doc_id"), F.col("text").cast("string").alias("text")), plain
