@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import bpe, substring, suffixes
+from loanloom.llm import bpe, shards, substring, suffixes
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -38,3 +38,10 @@ def op2_lempel_ziv_dedup(spark, sf_dir):
 @query
 def op7_radix_suffix_dedup(spark, sf_dir):
     return suffixes.kept_bytes(read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_histogram_shards(spark, sf_dir):
+    return shards.shard(read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
