@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import bpe, shards, substring, suffixes
+from loanloom.llm import bpe, leaks, shards, substring, suffixes
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -45,3 +45,8 @@ def op3_histogram_shards(spark, sf_dir):
     return shards.shard(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op4_positional_decontamination(spark, sf_dir):
+    return leaks.leak_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
