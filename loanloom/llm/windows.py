@@ -128,13 +128,9 @@ def segments(texts: DataFrame, units, length: int, k: int) -> DataFrame:
     return texts.select("id", "tk", "text").mapInArrow(run, SEGMENT)
 
 
-def repeated(texts: DataFrame, units, length: int, k: int, earlier: bool) -> DataFrame:
-    """``id``, ``tk`` and the ``places`` of windows that repeat (packed as in ``segments``).
-
-    ``texts`` has ``id``, ``tk``, ``text``, one row a document, dealt by (``id``, ``tk``).
-    With ``earlier`` a window counts if an equal one has a smaller (id, tk, start); without,
-    if an equal one starts anywhere else.
-    """
+def marked(texts: DataFrame, units, length: int, k: int, earlier: bool) -> DataFrame:
+    """Per document the packed places of segments that are ``done`` (all their windows repeat)
+    and of those whose windows one must ``look`` at singly."""
     rows = segments(texts, units, length, k).repartition("pk").withColumn("local", F.col("n") == 0)
     group = Window.partitionBy("pk", "local", "whole").orderBy("id", "tk", "place")
     rows = rows.withColumn("lead", ~F.col("local") & (F.row_number().over(group) == 1))
@@ -148,14 +144,15 @@ def repeated(texts: DataFrame, units, length: int, k: int, earlier: bool) -> Dat
     found = rows.groupBy("id", "tk").agg(
         F.collect_list(F.when(F.col("done"), F.col("place"))).alias("done"),
         F.collect_list(F.when(F.col("look"), F.col("place"))).alias("look"))
-    found = stage(found, "segments")
-    alone = _compared(texts, found.filter(F.size("look") > 0), units, length, earlier)
-    both = found.select("id", "tk", F.col("done").alias("places")).unionByName(alone)
-    return both.groupBy("id", "tk").agg(F.flatten(F.collect_list("places")).alias("places"))
+    return stage(found, "segments")
 
 
-def _compared(texts: DataFrame, found: DataFrame, units, length: int, earlier: bool) -> DataFrame:
-    """Single windows of the segments to look at, by their own hashes."""
+def _compared(texts: DataFrame, found: DataFrame, unique: bool, units, length: int, earlier: bool) -> DataFrame:
+    """Single windows of the segments to look at that repeat, by their own hashes.
+
+    With ``earlier`` a window repeats if an equal one has a smaller (id, tk, start); without,
+    if an equal one starts anywhere else.
+    """
 
     def run(batches):
         for batch in batches:
@@ -183,7 +180,10 @@ def _compared(texts: DataFrame, found: DataFrame, units, length: int, earlier: b
                             b=signed(b[order]), id=own[order], tk=tie[order],
                             place=((start[order] << 20) + 1).astype(np.int64), n=n)
 
-    rows = texts.join(found.select("id", "tk", "look"), ["id", "tk"]).mapInArrow(
+    texts = texts.join(found.select("id", "tk", "look"), ["id", "tk"])
+    if not unique:
+        texts = texts.dropDuplicates(["id", "tk"])
+    rows = texts.mapInArrow(
         run, "a long, b long, id long, tk long, place long, n int").repartition("a")
     group = Window.partitionBy("a", F.col("n") == 0, "b").orderBy("id", "tk", "place")
     if earlier:
@@ -191,7 +191,7 @@ def _compared(texts: DataFrame, found: DataFrame, units, length: int, earlier: b
     else:
         same = Window.partitionBy("a", F.col("n") == 0, "b")
         rows = rows.withColumn("r", F.sum("n").over(same)).filter("n = 0 OR r > 1")
-    return rows.groupBy("id", "tk").agg(F.collect_list("place").alias("places"))
+    return rows.groupBy("id", "tk").agg(F.collect_list("place").alias("alone"))
 
 
 def merged(places, length: int) -> list[tuple[int, int]]:
@@ -212,11 +212,17 @@ def merged(places, length: int) -> list[tuple[int, int]]:
 def with_places(docs: DataFrame, units, length: int, k: int, earlier: bool) -> DataFrame:
     """Every document (``doc_id``, ``text``) with the ``places`` of its repeated windows, or null.
 
-    Texts are dealt once by their key; comparing windows and the last join share that exchange.
+    Segments come straight from the scan.  Texts are dealt once, by their key: comparing
+    windows and the last join share that exchange.
     """
     texts, unique = keyed(docs)
-    texts = texts.repartition("id", "tk")
     once = texts.select("id", "tk", "text")
     if not unique:
         once = once.dropDuplicates(["id", "tk"])
-    return texts.join(repeated(once, units, length, k, earlier), ["id", "tk"], "left")
+    found = marked(once, units, length, k, earlier)
+    # single windows that repeat, besides the segments that are done
+    alone = _compared(texts, found.filter(F.size("look") > 0), unique, units, length, earlier)
+    none = F.array().cast("array<long>")
+    return texts.join(found.select("id", "tk", "done"), ["id", "tk"], "left").join(
+        alone, ["id", "tk"], "left").select(
+        "doc_id", "text", F.concat(F.coalesce("done", none), F.coalesce("alone", none)).alias("places"))
