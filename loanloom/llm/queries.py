@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import bpe, leaks, shards, substring, suffixes
+from loanloom.llm import bpe, leaks, quality, shards, substring, suffixes, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -50,3 +50,15 @@ def op3_histogram_shards(spark, sf_dir):
 @query
 def op4_positional_decontamination(spark, sf_dir):
     return leaks.leak_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_perplexity_rules(spark, sf_dir):
+    return quality.judge(read(spark, sf_dir, "documents")).select(
+        "doc_id", *quality.COUNTS, "base_failed", "kept", "perplexity")
+
+
+@query
+def op8_toxicity_neighbours(spark, sf_dir):
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted")
