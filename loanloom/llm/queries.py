@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import bpe, leaks, quality, shards, substring, suffixes, toxicity
+from loanloom.llm import bpe, leaks, minhash, quality, shards, substring, suffixes, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -62,3 +62,9 @@ def op6_perplexity_rules(spark, sf_dir):
 def op8_toxicity_neighbours(spark, sf_dir):
     return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select(
         "doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op1_circulant_minhash(spark, sf_dir):
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), size=3, percent=85).select(
+        "doc_id", "n_shingles", "component_id", "kept")
