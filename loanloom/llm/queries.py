@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import bpe, leaks, minhash, quality, shards, substring, suffixes, toxicity
+from loanloom.llm import bpe, leaks, minhash, pii, quality, shards, substring, suffixes, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -68,3 +68,8 @@ def op8_toxicity_neighbours(spark, sf_dir):
 def op1_circulant_minhash(spark, sf_dir):
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), size=3, percent=85).select(
         "doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op9_contextual_pii(spark, sf_dir):
+    return pii.report(read(spark, sf_dir, "documents"))
