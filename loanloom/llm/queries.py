@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import bpe, leaks, minhash, pii, quality, shards, substring, suffixes, toxicity
+from loanloom.llm import bpe, leaks, minhash, pii, quality, shards, substring, suffixes, tokencounts, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -73,3 +73,9 @@ def op1_circulant_minhash(spark, sf_dir):
 @query
 def op9_contextual_pii(spark, sf_dir):
     return pii.report(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_token_counts(spark, sf_dir):
+    # the vocabulary leaves this id free for the end of a document
+    return tokencounts.document_counts(read(spark, sf_dir, "documents"), RANKS, separator=50_256)
