@@ -1,25 +1,57 @@
-"""Documents to training tokens in stages; each stage is written as Parquet and read again."""
+"""Documents to training tokens in stages; each stage is written as Parquet and read again.
+
+All stages but the last return the columns of their input; each decides on everything that
+the one before it has kept.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loanloom.llm import bpe
+from loanloom.llm import bpe, leaks, minhash, pii, quality
 from loanloom.session import stage
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail a rule or leave the perplexity band of their language go."""
+    return quality.filtered(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the one with the smallest id."""
+    return minhash.deduplicated(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    return leaks.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data give way to their kind."""
+    return pii.redacted(docs)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document that is left."""
+    """Every document that is left, with its ids."""
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-STAGES = [("bpe", tokens)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("personal data", personal_data),
+    ("tokens", tokens),
+]
+
+#: SQL can't express the language model or the tokenizer; tests compare with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

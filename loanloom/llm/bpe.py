@@ -315,7 +315,7 @@ def encode(docs: DataFrame, ranks: str, column: str = "text") -> DataFrame:
     """
     rest = [c for c in docs.columns if c not in ("token_ids", "n_tokens")]
     kept = docs.select(*rest)
-    schema = T.StructType(kept.schema.fields).add("token_ids", "binary").add("n_tokens", "long")
+    schema = T.StructType(list(kept.schema.fields)).add("token_ids", "binary").add("n_tokens", "long")
 
     def run(batches):
         own = coder(ranks)
@@ -334,7 +334,7 @@ def decode(docs: DataFrame, ranks: str, column: str = "token_ids", to: str = "de
     """``docs`` plus the bytes that the ids of ``column`` stand for; null counts as no ids."""
     rest = [c for c in docs.columns if c != to]
     kept = docs.select(*rest)
-    schema = T.StructType(kept.schema.fields).add(to, "binary")
+    schema = T.StructType(list(kept.schema.fields)).add(to, "binary")
 
     def run(batches):
         own = coder(ranks)

@@ -16,10 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.llm.text import ALNUM_WORD, covered, steps, strings, table
+from loanloom.llm.text import ALNUM_WORD, covered, keyed, matching, steps, strings, table
 from loanloom.session import stage
 
-INDEX = ("doc_ids array<long>, word_counts array<int>, terms binary, term_counts binary, postings binary")
+INDEX = ("doc_ids array<long>, tks array<long>, word_counts array<int>, terms binary, term_counts binary, postings binary")
 
 
 def words_of(texts):
@@ -47,14 +47,14 @@ def build_index(docs: DataFrame) -> DataFrame:
                 counts = np.diff(np.append(np.flatnonzero(new), len(order)))
                 yield table(
                     doc_ids=pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                    tks=pa.array([part.column("tk").to_pylist()], pa.list_(pa.int64())),
                     word_counts=pa.array([np.diff(offsets)], pa.list_(pa.int32())),
                     terms=pa.array([terms.tobytes()], pa.binary()),
                     term_counts=pa.array([counts.astype(np.uint32).tobytes()], pa.binary()),
                     postings=pa.array([order.astype(np.uint32).tobytes()], pa.binary()))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text"))
-    return stage(rows.mapInArrow(run, INDEX), "postings")
+    rows, _ = keyed(docs)
+    return stage(rows.select("doc_id", "tk", "text").mapInArrow(run, INDEX), "postings")
 
 
 class Phrases:
@@ -85,7 +85,7 @@ class Segment:
         terms = np.frombuffer(row["terms"], np.uint64)
         counts = np.frombuffer(row["term_counts"], np.uint32).astype(np.int64)
         self.postings = np.frombuffer(row["postings"], np.uint32)
-        self.doc_ids = row["doc_ids"]
+        self.doc_ids, self.tks = row["doc_ids"], row["tks"]
         self.words = np.array(row["word_counts"], dtype=np.int64)
         self.ends = np.cumsum(self.words)
         at = np.minimum(np.searchsorted(terms, vocabulary), max(len(terms) - 1, 0))
@@ -154,7 +154,7 @@ def rarity(index: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
     return out
 
 
-MATCH = "segment long, ord int, doc_id long, n_words long, spans array<int>, items array<string>"
+MATCH = "segment long, ord int, doc_id long, tk long, n_words long, spans array<int>, items array<string>"
 
 
 def matches(index: DataFrame, phrases: Phrases) -> DataFrame:
@@ -203,7 +203,7 @@ def _documents(segment: Segment, number: int, starts, sizes, owners, items, name
             spans[d] = np.flatnonzero(np.diff(own)).tolist()
     return table(
         segment=pa.array([number] * n, pa.int64()), ord=pa.array(range(n), pa.int32()),
-        doc_id=pa.array(segment.doc_ids, pa.int64()), n_words=segment.words,
+        doc_id=pa.array(segment.doc_ids, pa.int64()), tk=pa.array(segment.tks, pa.int64()), n_words=segment.words,
         spans=pa.array(spans, pa.list_(pa.int32())),
         items=pa.array([[names[i] for i in sorted(h) if names[i] is not None] for h in hit],
                        pa.list_(pa.string())))
@@ -241,10 +241,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10,
         found = found.unionByName(more)
     if len(parts) > 1:  # a document has one row a block
         found = found.groupBy("segment", "ord").agg(
-            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+            F.first("doc_id").alias("doc_id"), F.first("tk").alias("tk"), F.first("n_words").alias("n_words"),
             F.flatten(F.collect_list("spans")).alias("spans"),
             F.flatten(F.collect_list("items")).alias("items"))
-    return found.select("doc_id", "n_words", "spans", F.array_sort(F.array_distinct("items")).alias("items"))
+    return found.select("doc_id", "n_words", "spans", F.array_sort(F.array_distinct("items")).alias("items"), "tk")
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """Rows of ``docs`` without any benchmark window, with all their columns."""
+    hit = find_leaks(docs, benchmark, window).filter(F.size("spans") > 0).select(
+        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "tk").distinct()
+    return matching(docs, hit, "left_anti")
 
 
 def leak_report(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:

@@ -17,11 +17,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm.text import (
-    BLANK_WORD, Rolling, Texts, binaries, keyed, mix, ragged, signed, steps, strings, table,
+    BLANK_WORD, Rolling, Texts, keyed, matching, mix, ragged, signed, steps, strings, table,
 )
 from loanloom.session import stage
 
@@ -63,8 +64,6 @@ SETS = "id long, tk long, doc_id long, n long, f1 long, f2 long, bands array<lon
 
 def sets(texts: DataFrame, size: int) -> DataFrame:
     """Per text: size and fingerprint of its set, its bands, and one bit of each coordinate."""
-    import pyarrow as pa
-
     def run(batches):
         for batch in batches:
             for part, some in steps(batch, limit=1 << 19):
@@ -143,7 +142,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """Every row's ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
+    """Every row's ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``, and its key (``text.keyed``).
 
     Texts are linked if ``100 * intersection >= percent * union`` of their sets of ``size``-word
     shingles; ``component_id`` is the smallest ``doc_id`` reachable, and one row of a component
@@ -170,16 +169,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     roots = classes.select("f1", "f2", "num").join(
         linked.withColumnRenamed("node", "num"), "num", "left").select(
         "f1", "f2", F.coalesce("root", "num").alias("root"))
-    out = rows.filter("n > 0").select("doc_id", "n", "num", "f1", "f2").join(roots, ["f1", "f2"]).select(
-        "doc_id", "n", "num", "root").unionByName(
-        rows.filter("n = 0").select("doc_id", "n", "num", F.col("num").alias("root")))
+    own = ["id", "tk", "doc_id", "n", "num"]
+    out = rows.filter("n > 0").select(*own, "f1", "f2").join(roots, ["f1", "f2"]).select(
+        *own, "root").unionByName(rows.filter("n = 0").select(*own, F.col("num").alias("root")))
     if unique:
         out = out.withColumn("component_id", F.col("root"))
     else:
         heads = rows.select(F.col("num").alias("root"), F.col("doc_id").alias("component_id"))
         out = out.join(heads, "root")
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                      (F.col("num") == F.col("root")).alias("kept"), "num")
+                      (F.col("num") == F.col("root")).alias("kept"), "id", "tk")
+
+
+def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One row of ``docs`` of each group of near-duplicates, with all its columns."""
+    kept = near_duplicates(docs, size, percent).filter("kept").select("id", "tk")
+    return matching(docs, kept, "left_semi", once=True)
 
 
 def _links(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:

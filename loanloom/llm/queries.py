@@ -54,8 +54,8 @@ def op4_positional_decontamination(spark, sf_dir):
 
 @query
 def op6_perplexity_rules(spark, sf_dir):
-    return quality.judge(read(spark, sf_dir, "documents")).select(
-        "doc_id", *quality.COUNTS, "base_failed", "kept", "perplexity")
+    return quality.judge(read(spark, sf_dir, "documents"), ["doc_id"]).select(
+        "carried.doc_id", *quality.COUNTS, "base_failed", "kept", "perplexity")
 
 
 @query

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that one array step works on; a single longer text is a step of its own.
@@ -176,8 +176,9 @@ def table(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
 
-def keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """``id`` and ``tk``, never null and together unique up to repeated rows, then ``doc_id`` and ``text``.
+def keyed(docs: DataFrame, *more: Column) -> tuple[DataFrame, bool]:
+    """``id`` and ``tk``, never null and together unique up to repeated rows, then ``doc_id``,
+    ``text`` and ``more`` columns.
 
     ``id`` is ``doc_id``; where that is missing or shared by several rows (found by one
     count over the ids), ``tk`` is a hash of the text that tells them apart, else 0.
@@ -191,4 +192,14 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
     return docs.select(
         F.coalesce(number, F.lit(-(1 << 63))).alias("id"),
         (F.lit(0).cast("long") if plain else F.xxhash64("text", number.isNull())).alias("tk"),
-        number.alias("doc_id"), F.col("text").cast("string").alias("text")), plain
+        number.alias("doc_id"), F.col("text").cast("string").alias("text"), *more), plain
+
+
+def matching(docs: DataFrame, keys: DataFrame, how: str, once: bool = False) -> DataFrame:
+    """Rows of ``docs`` with all their columns whose key is (``left_semi``) or isn't (``left_anti``)
+    among ``keys`` (``id``, ``tk``); with ``once`` one row a key."""
+    rows, unique = keyed(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
+    found = rows.select("id", "tk", "whole").join(keys, ["id", "tk"], how)
+    if once and not unique:
+        found = found.dropDuplicates(["id", "tk"])
+    return found.select("whole.*")
