@@ -21,7 +21,8 @@ from loanloom.llm.leaks import words_of
 from loanloom.llm.text import steps, table
 from loanloom.session import stage
 
-BLOCK = 32
+#: Examples of a block, and blocks that are looked into before bounds are compared.
+BLOCK, FIRST = 32, 12
 
 
 def learnable(labels: DataFrame) -> DataFrame:
@@ -108,10 +109,14 @@ class Index:
         order = np.lexsort((ids, vectors.argmax(axis=1) if vectors.shape[1] else ids))
         order = order[np.abs(vectors[order]).sum(axis=1) > 0]
         self.terms, self.idf, self.k, self.weights = terms, idf, k, np.array(weights)
-        self.ids, self.labels, self.vectors = ids[order], labels[order], vectors[order]
-        starts = range(0, len(order), BLOCK)
-        self.highest = np.array([self.vectors[i:i + BLOCK].max(axis=0) for i in starts],
-                                dtype=np.float32).reshape(-1, len(terms))
+        self.ids, self.labels = ids[order], labels[order]
+        self.members = set(self.ids.tolist())
+        blocks = -(-len(order) // BLOCK)
+        full = np.zeros((blocks * BLOCK, len(terms)), dtype=np.float32)
+        full[:len(order)] = vectors[order]
+        # postings of a term by block, and the largest of each block
+        self.postings = np.ascontiguousarray(full.T).reshape(len(terms), blocks, BLOCK)
+        self.highest = self.postings.max(axis=2)
         self.steps = np.array([0.0, 1.0])
         self.values = np.array([0.0, 1.0])
         self.prior = 0.0
@@ -122,21 +127,32 @@ class Index:
 
     def nearest(self, own: np.ndarray, q: np.ndarray, skip) -> tuple[np.ndarray, np.ndarray]:
         """The k most similar examples, best first (ties by place), without example ``skip``."""
-        bounds = self.highest[:, own] @ q
-        best, sims = np.zeros(0, np.int64), np.zeros(0, np.float32)
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or len(sims) == self.k and bounds[block] < sims[-1]:
-                break
-            low = block * BLOCK
-            found = self.vectors[low:low + BLOCK, own] @ q
-            at = np.arange(low, low + len(found))
-            good = found > 0
-            if skip is not None:
-                good &= self.ids[low:low + BLOCK] != skip
-            best, sims = np.concatenate([best, at[good]]), np.concatenate([sims, found[good]])
-            order = np.lexsort((best, -sims))[:self.k]
-            best, sims = best[order], sims[order]
-        return best, sims
+        bounds = q @ self.highest[own]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        at, sims = self._inside(own, q, order[:FIRST], skip)
+        if len(order) > FIRST:
+            # the blocks that can still hold one of the k best
+            least = np.partition(sims, len(sims) - self.k)[-self.k] if len(sims) >= self.k else 0.0
+            rest = order[FIRST:]
+            more, others = self._inside(own, q, rest[bounds[rest] >= least - 1e-6], skip)
+            at, sims = np.concatenate([at, more]), np.concatenate([sims, others])
+        if len(sims) > self.k:
+            good = sims >= np.partition(sims, len(sims) - self.k)[-self.k]
+            at, sims = at[good], sims[good]
+        best = np.lexsort((at, -sims))[:self.k]
+        return at[best], sims[best]
+
+    def _inside(self, own, q, blocks, skip) -> tuple[np.ndarray, np.ndarray]:
+        """Examples of some blocks with a common term, and their cosines."""
+        sims = np.tensordot(q, self.postings[np.ix_(own, blocks)], axes=1)
+        at = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        good = sims.ravel() > 0
+        at, sims = at[good], sims.ravel()[good]
+        if skip in self.members:
+            other = self.ids[at] != skip
+            at, sims = at[other], sims[other]
+        return at, sims
 
     def vote(self, own, q, skip) -> tuple[float, np.ndarray, np.ndarray]:
         """Share of label 1 among the neighbours, by similarity, mixed with the share of all."""
@@ -150,12 +166,19 @@ class Index:
         """For each text its vote and neighbours; without known terms, the vote is -1."""
         text, own, n = frequencies(texts, self.terms)
         edges = np.searchsorted(text, np.arange(len(texts) + 1))
+        same: dict[tuple[bytes, bytes], tuple] = {}  # texts of the same counts share neighbours
         for i in range(len(texts)):
             mine = slice(edges[i], edges[i + 1])
             if edges[i] == edges[i + 1]:
                 yield -1.0, (), ()
-            else:
+                continue
+            key = own[mine].tobytes(), n[mine].tobytes()
+            if ids[i] in self.members:
                 yield self.vote(own[mine], self.unit(own[mine], n[mine]), ids[i])
+                continue
+            if key not in same:
+                same[key] = self.vote(own[mine], self.unit(own[mine], n[mine]), None)
+            yield same[key]
 
     def calibrate(self, votes: np.ndarray, y: np.ndarray) -> None:
         """Rising steps from votes to shares of label 1: neighbours that fall are pooled."""
