@@ -124,17 +124,19 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 
     def run(batches):
         for batch in batches:
-            left, right = (shingles(strings(batch.column(c)), size) for c in ("text_a", "text_b"))
-            n, m = np.diff(left[1]), np.diff(right[1])
-            rows = np.arange(batch.num_rows)
-            keys = np.concatenate([left[0], right[0]])
-            pair = np.concatenate([np.repeat(rows, n), np.repeat(rows, m)])
-            order = np.lexsort((keys, pair))
-            keys, pair = keys[order], pair[order]
-            same = (keys[1:] == keys[:-1]) & (pair[1:] == pair[:-1])
-            both = np.bincount(pair[1:][same], minlength=batch.num_rows)
-            good = np.flatnonzero(100 * both >= percent * (n + m - both))
-            yield batch.select(["a", "b"]).take(good)
+            # the two texts of a pair are about equally long
+            for part, some in steps(batch, "text_a", 1 << 19):
+                left, right = shingles(some, size), shingles(strings(part.column("text_b")), size)
+                n, m = np.diff(left[1]), np.diff(right[1])
+                rows = np.arange(part.num_rows)
+                keys = np.concatenate([left[0], right[0]])
+                pair = np.concatenate([np.repeat(rows, n), np.repeat(rows, m)])
+                order = np.lexsort((keys, pair))
+                keys, pair = keys[order], pair[order]
+                same = (keys[1:] == keys[:-1]) & (pair[1:] == pair[:-1])
+                both = np.bincount(pair[1:][same], minlength=part.num_rows)
+                good = np.flatnonzero(100 * both >= percent * (n + m - both))
+                yield part.select(["a", "b"]).take(good)
 
     side = lambda c: texts.select(F.col("num").alias(c), F.col("text").alias(f"text_{c}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(
