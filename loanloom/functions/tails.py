@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 from functools import lru_cache
 
 _TINY = 1e-300
-EXACT_ROWS = 1_000
 
 
 def normal_two_sided(z: float) -> float:
@@ -134,31 +134,60 @@ def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
     return min(1.0, kept)
 
 
+@lru_cache(maxsize=8)
+def _partition_table(k: int) -> tuple[int, ...]:
+    """Ways to write 0, 1, ... as a sum of parts 1, 1, 2, 3, ..., ``k`` (two kinds of 1).
+
+    Long enough to continue exactly: on each residue of the common multiple of 1..k the
+    counts are a polynomial of degree ``k``.
+    """
+    size = math.lcm(*range(1, k + 1)) * (k + 1)
+    ways = [1] * size
+    for part in range(1, k + 1):
+        for total in range(part, size):
+            ways[total] += ways[total - part]
+    return tuple(ways)
+
+
+def _partitions(total: int, k: int) -> int:
+    """The same count for any ``total``, by Newton's forward differences."""
+    if total < 0:
+        return 0
+    table, period = _partition_table(k), math.lcm(*range(1, k + 1))
+    if total < len(table):
+        return table[total]
+    step, start = divmod(total, period)
+    row, out = [table[start + period * j] for j in range(k + 1)], 0
+    for i in range(k + 1):
+        out += math.comb(step, i) * row[0]
+        row = [b - a for a, b in zip(row, row[1:])]
+    return out
+
+
 def mann_whitney_exact(u: float, n1: int, n2: int) -> float:
-    """Exact two-sided p-value without ties: counts of subsets by rank sum."""
-    ways = {0: {0: 1}}
-    for rank in range(n1 + n2):
-        for size in range(min(rank, n1 - 1), -1, -1):
-            for total, count in list(ways.get(size, {}).items()):
-                bucket = ways.setdefault(size + 1, {})
-                bucket[total + rank] = bucket.get(total + rank, 0) + count
-    offset = n1 * (n1 - 1) // 2
-    counts = {total - offset: count for total, count in ways[n1].items()}
-    everything = sum(counts.values())
-    extreme = max(u, n1 * n2 - u)
-    tail = sum(count for value, count in counts.items() if value >= extreme)
-    return min(1.0, 2.0 * tail / everything)
+    """Exact two-sided p-value without ties; the cost depends on the smaller group alone.
+
+    Samples with statistic ``t`` are counted by a coefficient of the Gaussian binomial
+    ``prod (1 - q^(n + i)) / (1 - q^i)``, i up to the smaller size; dividing by ``1 - q``
+    sums them up.  The numerator has at most 2^k terms.
+    """
+    k, n = min(n1, n2), max(n1, n2)
+    tail = math.floor(min(u, n1 * n2 - u))
+    terms = {0: 1}
+    for i in range(1, k + 1):
+        for exponent, sign in list(terms.items()):
+            terms[exponent + n + i] = terms.get(exponent + n + i, 0) - sign
+    ways = sum(sign * _partitions(tail - exponent, k) for exponent, sign in terms.items())
+    return float(min(Fraction(1), Fraction(2 * ways, math.comb(n + k, k))))
 
 
 def mann_whitney_p(u: float, n1: int, n2: int, tie_term: float) -> float | None:
     """Exact when one group has at most 8 values and nothing is tied; otherwise the
-    normal approximation with tie and continuity correction.  The exact count grows with
-    the larger group, so beyond ``EXACT_ROWS`` rows the approximation takes over."""
+    normal approximation with tie and continuity correction."""
     if n1 == 0 or n2 == 0:
         return None
-    if tie_term == 0 and min(n1, n2) <= 8 and n1 + n2 <= EXACT_ROWS:
-        small, large = min(n1, n2), max(n1, n2)
-        return mann_whitney_exact(u, small, large)
+    if tie_term == 0 and min(n1, n2) <= 8:
+        return mann_whitney_exact(u, n1, n2)
     n = n1 + n2
     variance = n1 * n2 / 12.0 * ((n + 1) - tie_term / (n * (n - 1.0)))
     extreme = max(u, n1 * n2 - u)

@@ -15,7 +15,6 @@ from loanloom.session import stage
 
 MISSING_CLASS = "nan"
 LITERAL_CLASSES = 100
-MAX_COLUMNS_PER_FEATURE = 1_000
 
 
 def distinct_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -81,16 +80,16 @@ class OneHotEncoder:
     categories: dict[str, list[str]]
 
     @staticmethod
-    def fit(train: DataFrame, features: Sequence[str]) -> OneHotEncoder:
+    def fit(train: DataFrame, features: Sequence[str], most: int | None = None) -> OneHotEncoder:
+        """Categories are column names, so they come to the driver; with ``most`` a feature
+        that has more of them raises instead."""
         values = distinct_values(train, features).where(F.col("value").isNotNull())
-        limit = MAX_COLUMNS_PER_FEATURE * len(features)
-        rows = values.limit(limit + 1).collect()
         found: dict[str, list[str]] = {f: [] for f in features}
-        for r in rows:
+        for r in values.collect():
             found[r["feature"]].append(r["value"])
-        wide = [f for f, v in found.items() if len(v) > MAX_COLUMNS_PER_FEATURE]
-        if wide or len(rows) > limit:
-            raise ValueError(f"too many categories for one column each: {wide or list(features)}")
+        wide = [f for f, v in found.items() if most is not None and len(v) > most]
+        if wide:
+            raise ValueError(f"too many categories for one column each: {wide}")
         return OneHotEncoder({f: sorted(v) for f, v in found.items()})
 
     def columns(self, feature: str) -> list[Column]:

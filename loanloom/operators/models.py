@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
@@ -26,7 +25,7 @@ from loanloom.operators.metrics import (
 )
 from loanloom.operators.rank import prefix_sum
 from loanloom.operators.sampling import hash_folds, hash_key, hash_unit
-from loanloom.operators.schema import FeatureNameSanitizer
+from loanloom.operators.schema import FeatureNameSanitizer, sanitized_names
 from loanloom.session import stage
 from loanloom.sources.models import load_checkpoint, save_checkpoint
 
@@ -42,6 +41,8 @@ SUBSAMPLE = 0.8
 MIN_LEAF = 5
 INVERSE_REGULARISATION = 0.1
 ITERATIONS = 1000
+# The selectors' trees grow as deep as the library allows.
+DEEPEST_TREE = 30
 MODEL_NAMES = [
     "Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosting", "XGBoost",
     "LightGBM",
@@ -80,10 +81,6 @@ def assembler(features: Sequence[str], output: str = RAW) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=output, handleInvalid="error")
 
 
-def clean_feature_names(features: Sequence[str]) -> list[str]:
-    return [re.sub(r"\W+", "_", f).strip("_") for f in features]
-
-
 def model_pipeline(
     name: str, features: Sequence[str], rows: int, seed: int = 42, rounds: int = ROUNDS,
     trees: int = TREES,
@@ -95,8 +92,8 @@ def model_pipeline(
     """
     common = {"labelCol": LABEL, "seed": seed}
     weighted = {**common, "weightCol": WEIGHT}
-    first = [FeatureNameSanitizer()]
-    names = clean_feature_names(features)
+    first = [FeatureNameSanitizer(inputCols=list(features))]
+    names = sanitized_names(features)
     if name == "Logistic Regression":
         shared = {"labelCol": LABEL, "standardization": False}
         return create_pipeline(
@@ -108,14 +105,14 @@ def model_pipeline(
                 regParam=1.0 / (INVERSE_REGULARISATION * rows)),
         )
     if name == "Decision Tree":
-        selector = DecisionTreeClassifier(**common, maxDepth=10)
+        selector = DecisionTreeClassifier(**common, maxDepth=DEEPEST_TREE)
         last = DecisionTreeClassifier(**weighted, maxDepth=DEPTH, minInstancesPerNode=MIN_LEAF)
     elif name == "Random Forest":
-        selector = RandomForestClassifier(**common, numTrees=20, maxDepth=FOREST_DEPTH)
+        selector = RandomForestClassifier(**common, numTrees=trees, maxDepth=DEEPEST_TREE)
         last = RandomForestClassifier(
             **weighted, numTrees=trees, maxDepth=FOREST_DEPTH, minInstancesPerNode=MIN_LEAF)
     elif name in ("Gradient Boosting", "XGBoost", "LightGBM"):
-        selector = GBTClassifier(**common, maxIter=max(1, rounds // 10), maxDepth=DEPTH)
+        selector = GBTClassifier(**common, maxIter=rounds, maxDepth=DEPTH)
         last = GBTClassifier(
             **weighted, maxIter=rounds, maxDepth=DEPTH, stepSize=STEP, subsamplingRate=SUBSAMPLE,
             minInstancesPerNode=MIN_LEAF,
@@ -199,12 +196,12 @@ def train_and_evaluate(
 
 def permutation_importances(
     model: Transformer, df: DataFrame, features: Sequence[str], id_column: str,
-    repeats: int = 5, seed: int = 42,
+    repeats: int = 30, seed: int = 42,
 ) -> DataFrame:
     """``feature, importance, importance_std``: mean accuracy drop when a feature is shuffled.
 
     Rows are numbered once in hash order; a shuffle is a shift of the values along that
-    order, so each repeat is one equi-join on the number for all features together.
+    order, so each repeat is one equi-join and one scoring pass for all features together.
     """
     part = F.conv(F.substring("key", 1, 3), 16, 10).cast("int")
     keyed = df.select("*", hash_key(id_column, seed, "shuffle:").alias("key")).select(
@@ -212,28 +209,29 @@ def permutation_importances(
     rows = stage(prefix_sum(keyed, ["all"], "key", ["n"]).drop("key", "part", "all", "n"), "rows")
     total = rows.count()
     base = accuracy(model.transform(rows))
-    drops = None
+    rows_of = []
+    hit = (F.col("prediction") == F.col(LABEL)).cast("double")
     for r in range(repeats):
         shift = 1 + (seed * 7919 + (r + 1) * 104_729) % max(1, total - 1)
         moved = rows.select(
             ((F.col("before_n") + shift) % total).alias("before_n"),
-            *[F.col(f).alias(f"__{f}") for f in features])
-        # read once per feature below
-        both = stage(rows.join(moved, "before_n"), "shifted")
-        for f in features:
-            variant = both.withColumn(f, F.col(f"__{f}")).drop(*[f"__{g}" for g in features])
-            hit = (F.col("prediction") == F.col(LABEL)).cast("double")
-            one = model.transform(variant).agg(F.avg(hit).alias("score")).select(
-                F.lit(f).alias("feature"), F.lit(r).alias("repeat"),
-                (F.lit(base) - F.col("score")).alias("drop"))
-            drops = one if drops is None else drops.unionByName(one)
+            F.struct(*[F.col(f).alias(f) for f in features]).alias("__other"))
+        # one row per feature, with that feature taken from the other row
+        names = F.explode(F.array(*[F.lit(f) for f in features])).alias("__feature")
+        both = rows.join(moved, "before_n").select("*", names).select(LABEL, "__feature", *[
+            F.when(F.col("__feature") == f, F.col("__other")[f]).otherwise(F.col(f)).alias(f)
+            for f in features])
+        # one short row per feature and repeat
+        for one in model.transform(both).groupBy("__feature").agg(F.avg(hit).alias("score")).collect():
+            rows_of.append((one["__feature"], r, base - one["score"]))
+    drops = df.sparkSession.createDataFrame(rows_of, "feature string, repeat int, drop double")
     return drops.groupBy("feature").agg(
         F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("importance_std"))
 
 
 def extract_feature_importances(
     model: PipelineModel, df: DataFrame, features: Sequence[str], id_column: str,
-    repeats: int = 5, seed: int = 42,
+    repeats: int = 30, seed: int = 42,
 ) -> DataFrame:
     """Built-in importances of the last stage, else permutation importances.
 

@@ -145,7 +145,7 @@ def _ranks_in_small(df, work) -> dict:
     )
     wanted = [(i, r - (s["before"] or 0)) for i, (_, s) in enumerate(work) for r in s["ranks"]]
     ranks = df.sparkSession.createDataFrame(wanted, "slot int, r bigint")
-    hits = values.join(ranks, "slot").where("upto - n <= r and r < upto").collect()
+    hits = values.join(F.broadcast(ranks), "slot").where("upto - n <= r and r < upto").collect()
     out = {}
     for h in hits:
         (c, _), state = work[h["slot"]]
@@ -204,6 +204,8 @@ def exact_quantiles(
             finite, {c: {r for lo, hi, _ in plan[c] for r in (lo, hi)} for c in big},
             direct_rows, grid,
         )
+        ends = {sys.float_info.max: math.inf, -sys.float_info.max: -math.inf}
+        values = {key: ends.get(v, v) for key, v in values.items()}
         for c in big:
             out[c] = [
                 _between(lo, hi, at, values[(c, lo)], values[(c, hi)]) for lo, hi, at in plan[c]

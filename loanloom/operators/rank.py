@@ -17,7 +17,6 @@ from loanloom.functions.scalars import present
 from loanloom.operators.quantiles import bucketed
 
 FEWEST_RANGES = 16
-MOST_RANGES = 20_000
 ROWS_PER_RANGE = 250_000
 
 
@@ -33,7 +32,7 @@ def range_edges(df: DataFrame, columns: Sequence[str], ranges: int) -> dict:
 
 def ranges_for(df: DataFrame) -> int:
     """Enough ranges that one of them stays small however large the table is."""
-    return min(MOST_RANGES, max(FEWEST_RANGES, df.count() // ROWS_PER_RANGE))
+    return max(FEWEST_RANGES, df.count() // ROWS_PER_RANGE)
 
 
 def value_histogram(

@@ -14,9 +14,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanloom.session import stage
+
 PREFIX_STEP = 3
 CUT_ROWS = 200_000
-MAX_CLASSES = 10_000
 
 
 def hash_key(id_column: str, seed: int, use: str = "") -> Column:
@@ -34,24 +35,25 @@ def hash_unit(id_column: str, seed: int, use: str) -> Column:
     return F.conv(digits, 16, 10).cast("double") / float(2**32)
 
 
-def _cut_keys(
-    keyed: DataFrame, ranks: dict[str, list[int]], cut_rows: int
-) -> dict[tuple[str, int], str]:
-    """Hash key of the ``rank``-th (one-based) row of each class."""
-    spark = keyed.sparkSession
-    found: dict[tuple[str, int], str] = {}
-    # one open search per (class, rank): prefix so far, rows before it
-    searches = [(c, r, "", 0) for c, rs in ranks.items() for r in rs if r > 0]
-    while searches:
-        length = len(searches[0][2]) + PREFIX_STEP
-        schema = "class string, prefix string, rank bigint, before bigint"
-        wanted = spark.createDataFrame([(c, p, r, b) for c, r, p, b in searches], schema)
-        near = keyed.join(
-            wanted.select("class", F.col("prefix")).distinct().withColumnRenamed("class", "__c"),
-            (F.col("class") == F.col("__c"))
-            & (F.substring("key", 1, length - PREFIX_STEP) == F.col("prefix")),
-            "inner",
-        )
+def small(table: DataFrame, most: int = 10_000) -> DataFrame:
+    """``table`` to be sent to every task if it has at most ``most`` rows."""
+    return F.broadcast(table) if table.limit(most + 1).count() <= most else table
+
+
+def _cut_keys(keyed: DataFrame, ranks: DataFrame, cut_rows: int) -> DataFrame:
+    """``class, rank, key``: hash key of the ``rank``-th (one-based) row of each class.
+
+    Searches are rows too: prefix so far and rows before it.  Each round counts rows per
+    longer prefix, keeps the prefix that holds the rank, and reads the key where few rows
+    are left.
+    """
+    found, length = None, 0
+    open_ = ranks.select("class", "rank", F.lit("").alias("prefix"), F.lit(0).cast("bigint").alias("before"))
+    open_ = stage(open_, "searches")
+    while open_.head(1):
+        near = keyed.withColumn("prefix", F.substring("key", 1, length) if length else F.lit("")).join(
+            small(open_.select("class", "prefix").distinct()), ["class", "prefix"])
+        length += PREFIX_STEP
         # at most 16^3 rows per class and prefix
         inside = Window.partitionBy("class", "prefix").orderBy("next")
         counts = (
@@ -59,25 +61,19 @@ def _cut_keys(
             .agg(F.count(F.lit(1)).alias("n"))
             .withColumn("upto", F.sum("n").over(inside))
         )
-        hits = counts.join(wanted, ["class", "prefix"]).where(
+        hits = stage(counts.join(small(open_), ["class", "prefix"]).where(
             "before + upto - n < rank and rank <= before + upto"
-        ).selectExpr("class", "rank", "next", "n", "before + upto - n as start").collect()
-        open_, close = [], []
-        for h in hits:
-            target = close if h["n"] <= cut_rows or length >= 30 else open_
-            target.append((h["class"], h["rank"], h["next"], h["start"]))
-        if close:
-            last = spark.createDataFrame(
-                [(c, p, r - b, r) for c, r, p, b in close],
-                "class string, prefix string, local bigint, rank bigint",
-            )
-            numbered = keyed.withColumn("prefix", F.substring("key", 1, length)).join(
-                last.select("class", "prefix").distinct(), ["class", "prefix"], "left_semi"
-            ).withColumn("local", F.row_number().over(
-                Window.partitionBy("class", "prefix").orderBy("key")).cast("bigint"))
-            for row in numbered.join(last, ["class", "prefix", "local"]).collect():
-                found[(row["class"], row["rank"])] = row["key"]
-        searches = open_
+        ).selectExpr("class", "rank", "next as prefix", "n", "before + upto - n as before"), "searches")
+        few = (F.col("n") <= cut_rows) | F.lit(length >= 30)
+        close = small(hits.where(few).select(
+            "class", "prefix", (F.col("rank") - F.col("before")).alias("local"), "rank"))
+        numbered = keyed.withColumn("prefix", F.substring("key", 1, length)).join(
+            small(hits.where(few).select("class", "prefix").distinct()), ["class", "prefix"], "left_semi"
+        ).withColumn("local", F.row_number().over(
+            Window.partitionBy("class", "prefix").orderBy("key")).cast("bigint"))
+        part = stage(numbered.join(close, ["class", "prefix", "local"]).select("class", "rank", "key"), "cuts")
+        found = part if found is None else found.unionByName(part)
+        open_ = stage(hits.where(~few).select("class", "rank", "prefix", "before"), "searches")
     return found
 
 
@@ -90,38 +86,34 @@ def cut_by_rank(
     class_column: str | None,
     id_column: str,
     seed: int,
-    positions: Callable[[str, int], Sequence[int]],
+    positions: Callable[[Column], Sequence[Column]],
     output: str,
     cut_rows: int = CUT_ROWS,
 ) -> DataFrame:
     """Add ``output``: how many of the class's cut positions lie before the row.
 
-    ``positions(class, size)`` gives ascending one-based ranks; a row at or below the first
-    one gets 0.  Rows without a class are left out.
+    ``positions(size)`` gives ascending one-based ranks as expressions of a class's size; a
+    row at or below the first one gets 0.  Rows without a class are left out.
     """
     cls = _class_key(class_column) if class_column else F.lit("all")
     keyed = df.select(cls.alias("class"), hash_key(id_column, seed).alias("key")).where(
         "class is not null"
     )
-    sizes = keyed.groupBy("class").count().limit(MAX_CLASSES + 1).collect()
-    if len(sizes) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {class_column!r}")
-    plan = {r["class"]: [int(p) for p in positions(r["class"], r["count"])] for r in sizes}
-    keys = _cut_keys(keyed, {c: sorted(set(p)) for c, p in plan.items()}, cut_rows)
-    table = df.sparkSession.createDataFrame(
-        [(c, [keys[(c, r)] if r > 0 else "" for r in ranks]) for c, ranks in plan.items()],
-        "__class string, __cuts array<string>",
-    )
-    # at most MAX_CLASSES short rows
-    out = df.withColumns({"__k": hash_key(id_column, seed), "__class": cls}).join(
-        F.broadcast(table), "__class"
-    )
-    before = F.size(F.filter("__cuts", lambda cut: cut < F.col("__k")))
+    sizes = keyed.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+    ranks = stage(sizes.select("class", F.posexplode(F.array(
+        *[p.cast("bigint") for p in positions(F.col("n"))])).alias("place", "rank")), "ranks")
+    keys = _cut_keys(keyed, ranks.where("rank > 0").select("class", "rank").distinct(), cut_rows)
+    joined = ranks if keys is None else ranks.join(keys, ["class", "rank"], "left")
+    key = F.lit("") if keys is None else F.coalesce("key", F.lit(""))
+    table = stage(joined.groupBy(F.col("class").alias("__class")).agg(F.sort_array(F.collect_list(
+        F.struct("place", key.alias("key")))).alias("__cuts")), "cuts")
+    out = df.withColumns({"__k": hash_key(id_column, seed), "__class": cls}).join(small(table), "__class")
+    before = F.size(F.filter("__cuts", lambda cut: cut["key"] < F.col("__k")))
     return out.withColumn(output, before.cast("int")).drop("__class", "__k", "__cuts")
 
 
-def _half_even(x: float) -> int:
-    return int(round(x))
+def half_even(x: Column) -> Column:
+    return F.bround(x, 0).cast("bigint")
 
 
 def create_stratified_sample(
@@ -136,7 +128,7 @@ def create_stratified_sample(
         raise ValueError(f"sample size {sample_size} exceeds {rows} rows")
     fraction = sample_size / rows
     return cut_by_rank(
-        df, target, id_column, seed, lambda _, n: [_half_even(fraction * n)], "__part", cut_rows
+        df, target, id_column, seed, lambda n: [half_even(F.lit(fraction) * n)], "__part", cut_rows
     ).where("__part = 0").drop("__part")
 
 
@@ -150,9 +142,9 @@ def stratified_split(
     ``validation_share`` is taken from what the test share leaves (60/20/20 by default).
     """
 
-    def positions(_: str, n: int) -> list[int]:
-        test = _half_even(test_share * n)
-        return [test, test + _half_even(validation_share * (n - test))]
+    def positions(n: Column) -> list[Column]:
+        test = half_even(F.lit(test_share) * n)
+        return [test, test + half_even(F.lit(validation_share) * (n - test))]
 
     part = F.col("__part")
     return cut_by_rank(df, target, id_column, seed, positions, "__part", cut_rows).withColumn(

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark import keyword_only
 from pyspark.ml import Transformer
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,18 +47,34 @@ def clean_column_names(df: DataFrame) -> DataFrame:
 
 def sanitize_feature_names(df: DataFrame) -> DataFrame:
     """Runs of non-word characters become ``_``; outer ``_`` are stripped, case is kept."""
-    return _rename_all(df, [re.sub(r"\W+", "_", c).strip("_") for c in df.columns])
+    return _rename_all(df, sanitized_names(df.columns))
+
+
+def sanitized_names(names: Sequence[str]) -> list[str]:
+    return [re.sub(r"\W+", "_", n).strip("_") for n in names]
 
 
 class FeatureNameSanitizer(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """:func:`sanitize_feature_names` as a stage of an ML pipeline."""
+    """:func:`sanitize_feature_names` for ``inputCols`` as a stage of an ML pipeline.
+
+    Columns that are no features, such as ids or what a decision needs, keep their names;
+    without ``inputCols`` every column is renamed.
+    """
+
+    inputCols = Param(Params._dummy(), "inputCols", "columns to rename", TypeConverters.toListString)
 
     @keyword_only
-    def __init__(self):
+    def __init__(self, inputCols=None):
         super().__init__()
+        if inputCols is not None:
+            self._set(inputCols=list(inputCols))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return sanitize_feature_names(dataset)
+        if not self.isSet(self.inputCols):
+            return sanitize_feature_names(dataset)
+        own = self.getOrDefault(self.inputCols)
+        new = dict(zip(own, sanitized_names(own), strict=True))
+        return _rename_all(dataset, [new.get(c, c) for c in dataset.columns])
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from loanloom.functions.tails import chi2_upper, fisher_two_sided, mann_whitney_p
 from loanloom.operators.rank import adjust_p_values, class_histogram, prefix_sum
 from loanloom.operators.resampling import bootstrap_delta, resample_tables
-from loanloom.operators.summary import crosstab
+from loanloom.operators.summary import cell_counts
 from loanloom.session import stage
 
 OTHER = "Other"
@@ -188,20 +188,30 @@ def table_statistics(cells: DataFrame, auto_correct: bool = False) -> DataFrame:
 def chi_square(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row for any two columns: chi-square (corrected for 2 x 2), size, V and the
     bias-corrected V."""
-    cells = crosstab(df, x, y)
-    total = cells.agg(F.sum("n")).scalar().cast("double")
-    rows = cells.groupBy(x).agg(F.sum("n").cast("double").alias("row_n"))
-    cols = cells.groupBy(y).agg(F.sum("n").cast("double").alias("col_n")).where("col_n > 0")
-    size = rows.agg(F.count(F.lit(1))).scalar(), cols.agg(F.count(F.lit(1))).scalar()
-    base = cells.join(rows, x).join(cols, y).withColumns(
-        {"e": F.col("row_n") * F.col("col_n") / total, "r": size[0], "k": size[1]}
-    )
-    gap = F.abs(F.col("n") - F.col("e"))
-    gap = F.when((F.col("r") == 2) & (F.col("k") == 2), gap - F.least(F.lit(0.5), gap)).otherwise(gap)
+    cells = stage(cell_counts(df, x, y).select(
+        F.col(x).alias("x"), F.col(y).alias("y"), F.col("n").cast("double").alias("n")), "cells")
+    rows = cells.groupBy("x").agg(F.sum("n").alias("row_n"))
+    cols = cells.groupBy("y").agg(F.sum("n").alias("col_n"))
+    # the margins as single rows: number of levels, sum of reciprocals
+    margin = lambda t, c, a: t.agg(
+        F.count(F.lit(1)).alias(a), F.sum(1 / F.col(c)).alias(f"{a}_inverse"), F.sum(c).alias(f"{a}_n"))
+    base = cells.join(rows, "x").join(cols, "y")
     facts = base.agg(
-        F.sum(gap * gap / F.col("e")).alias("chi2"), F.sum("n").alias("n"),
-        F.first("r").alias("r"), F.first("k").alias("k"),
-    )
+        # cells that don't occur add nothing to the sum of n^2 / (row * column)
+        F.sum(F.col("n") * F.col("n") / (F.col("row_n") * F.col("col_n"))).alias("share"),
+        F.first(F.struct("n", "row_n", "col_n")).alias("one"))
+    # three aggregates of one row each become one row
+    facts = facts.unionByName(margin(rows, "row_n", "r"), True).unionByName(margin(cols, "col_n", "k"), True)
+    facts = facts.agg(*[F.max(c).alias(c) for c in facts.columns])
+    # in a 2 x 2 table every cell is equally far from its expectation
+    total = F.col("r_n")
+    gap = F.abs(F.col("one.n") - F.col("one.row_n") * F.col("one.col_n") / total)
+    gap = gap - F.least(F.lit(0.5), gap)
+    corrected_chi2 = gap * gap * total * F.col("r_inverse") * F.col("k_inverse")
+    facts = facts.select(
+        total.cast("bigint").alias("n"), "r", "k",
+        F.when((F.col("r") == 2) & (F.col("k") == 2), corrected_chi2).otherwise(
+            total * (F.col("share") - 1)).alias("chi2"))
     n, r, k = F.col("n").cast("double"), F.col("r").cast("double"), F.col("k").cast("double")
     phi2 = F.greatest(F.lit(0.0), F.col("chi2") / n - F.try_divide((k - 1) * (r - 1), n - 1))
     rc = r - F.try_divide((r - 1) * (r - 1), n - 1)

@@ -12,26 +12,27 @@ from loanloom.functions.scalars import present
 from loanloom.functions.tails import t_quantile
 from loanloom.operators.quantiles import exact_quantiles
 
-MAX_LEVELS = 1_000
-
 
 def levels(df: DataFrame, column: str) -> list:
-    """Sorted distinct values of a class-like column; raises when there are too many."""
-    rows = (
-        df.where(F.col(column).isNotNull()).select(column).distinct().limit(MAX_LEVELS + 1)
-        .collect()
-    )
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"{column!r} has more than {MAX_LEVELS} levels")
-    return sorted(r[0] for r in rows)
+    """Sorted distinct values of a class-like column, as many as there are."""
+    return sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().collect())
+
+
+def cell_counts(df: DataFrame, x: str, y: str) -> DataFrame:
+    """``x, y, n`` of the cells that occur; rows missing a side are left out."""
+    return df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(x, y).agg(
+        F.count(F.lit(1)).alias("n"))
 
 
-def crosstab(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Long contingency table ``x, y, n`` with zero cells; rows missing a side are left out.
+def crosstab(df: DataFrame, x: str, y: str, fill: bool = True) -> DataFrame:
+    """Long contingency table ``x, y, n``; rows missing a side are left out.
 
-    The levels of ``y`` become columns once and are turned back into rows, which fills the
-    zero cells without pairing the two key sets.
+    With ``fill`` cells that don't occur have a row with 0: the levels of ``y`` become columns
+    once and are turned back into rows, which needs no pairing of the two key sets but one
+    column a level.  Without it the table is one grouped count for any number of levels.
     """
+    if not fill:
+        return cell_counts(df, x, y)
     ys = levels(df, y)
     names = [f"__y{i}" for i in range(len(ys))]
     counted = (
@@ -55,33 +56,37 @@ def category_by_target(df: DataFrame, category: str, target: str) -> DataFrame:
     )
 
 
+#: Pairs of columns that one aggregation holds.
+PAIRS_AT_ONCE = 400
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long ``x, y, r`` over all pairs, pairwise complete, undefined as null.
 
-    Each row is unfolded into its pairs of present values, which meet in partial
-    aggregates before the shuffle; the plan stays small however many columns there are.
+    A row stays a row: pairs are guarded aggregates, in blocks that bound the aggregation
+    buffer and the generated code; each block is one scan of the columns in it.
     """
     names = list(columns)
-    cells = F.array(*[F.struct(F.lit(i).alias("i"), present(c).alias("v"))
-                      for i, c in enumerate(names)])
-    filled = F.filter(cells, lambda s: s["v"].isNotNull())
-    pairs = (
-        df.select(filled.alias("cells")).select("cells", F.explode("cells").alias("a"))
-        .select("a", F.explode(F.filter("cells", lambda s: s["i"] >= F.col("a.i"))).alias("b"))
-        .select(F.col("a.i").alias("i"), F.col("b.i").alias("j"),
-                F.col("a.v").alias("x"), F.col("b.v").alias("y"))
-    )
-    spread = F.stddev_samp("x") * F.stddev_samp("y")
-    found = pairs.groupBy("i", "j").agg(
-        (F.covar_samp("x", "y") / F.nullif(spread, F.lit(0.0))).alias("r"))
-    # every ordered pair of column numbers
-    k = len(names)
-    grid = df.sparkSession.range(k * k, numPartitions=1).select(
-        F.floor(F.col("id") / k).cast("int").alias("p"), (F.col("id") % k).cast("int").alias("q"))
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    clean = df.select(*[present(c).alias(f"v{i}") for i, c in enumerate(names)])
     label = F.array(*[F.lit(n) for n in names])
-    return grid.join(
-        found, (F.least("p", "q") == F.col("i")) & (F.greatest("p", "q") == F.col("j")), "left"
-    ).select(F.get(label, F.col("p")).alias("x"), F.get(label, F.col("q")).alias("y"), "r")
+    out = None
+    for at in range(0, len(pairs), PAIRS_AT_ONCE):
+        block = pairs[at:at + PAIRS_AT_ONCE]
+        cells = []
+        for i, j in block:
+            both = F.col(f"v{i}").isNotNull() & F.col(f"v{j}").isNotNull()
+            x, y = F.when(both, F.col(f"v{i}")), F.when(both, F.col(f"v{j}"))
+            spread = F.stddev_samp(x) * F.stddev_samp(y)
+            cells.append((F.covar_samp(x, y) / F.nullif(spread, F.lit(0.0))).alias(f"r{i}_{j}"))
+        row = clean.agg(*cells)
+        found = row.select(F.explode(F.array(*[
+            F.struct(F.lit(p).alias("p"), F.lit(q).alias("q"), F.col(f"r{i}_{j}").alias("r"))
+            for i, j in block for p, q in ({(i, j), (j, i)})
+        ])).alias("c"))
+        part = found.select(F.get(label, F.col("c.p")).alias("x"), F.get(label, F.col("c.q")).alias("y"), "c.r")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def value_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:

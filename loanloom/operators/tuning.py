@@ -19,8 +19,6 @@ from loanloom.operators.models import (
     CHOSEN,
     LABEL,
     WEIGHT,
-    assembler,
-    create_pipeline,
     score_row,
     train_and_evaluate,
     with_probability,
@@ -125,14 +123,14 @@ def optimize_hyperparameters(
 
     def run(trial_id: int) -> None:
         params = sample_params(space, seed, trial_id)
-        f2, _, fitted = train_and_evaluate(
+        f2, chosen, fitted = train_and_evaluate(
             classifier_for(family, params, seed), weigh(train, params), validation, features,
             feature_selection_threshold)
         if progress_path:
             scored = with_probability(fitted.transform(validation))
             save_progress(scored.select("prediction", F.col("p1").alias("probability")),
                           progress_path, trial_id)
-        append_trial(spark, trials_path, trial_id, params, f2)
+        append_trial(spark, trials_path, trial_id, params, f2, chosen)
 
     try:
         # fits are Spark jobs; the threads only submit them side by side
@@ -142,8 +140,9 @@ def optimize_hyperparameters(
         best = trials.orderBy(F.desc("f2_score"), "trial_id").first()
         params = json.loads(best["params"])
         both = weigh(train.unionByName(validation), params)
-        fitted = create_pipeline(
-            assembler(features, CHOSEN), classifier_for(family, params, seed)).fit(both)
+        # the final fit selects again, on both tables
+        _, chosen, fitted = train_and_evaluate(
+            classifier_for(family, params, seed), both, test, features, feature_selection_threshold)
     finally:
         train.unpersist()
         validation.unpersist()
@@ -151,4 +150,4 @@ def optimize_hyperparameters(
     if model_directory:
         save_checkpoint(fitted, name, model_directory, is_tuned=True)
     metrics = score_row(name, with_probability(fitted.transform(test)))
-    return TuningResult(params, best["f2_score"], features, fitted, metrics, trials)
+    return TuningResult(params, best["f2_score"], chosen, fitted, metrics, trials)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loanloom.functions.scalars import present
 from loanloom.operators import models, sampling, tuning
 from loanloom.operators.features import create_derived_features
+from loanloom.operators.quantiles import exact_quantiles
 from loanloom.plans.applications import applications, split_tables
 from loanloom.plans.quality_queries import rounded
 from loanloom.plans.registry import query
@@ -21,11 +23,13 @@ FEATURES = ["amt_income_total", "amt_credit", "amt_annuity", "amt_goods_price",
 
 
 def splits(spark, sf_dir, features=FEATURES):
-    """Complete rows in the three parts of the stratified split."""
-    apps = create_derived_features(applications(spark, sf_dir)).dropna(subset=FEATURES)
-    ready = stage(apps.select("sk_id_curr", TARGET, *features), "training")
-    parts = stage(sampling.stratified_split(ready, TARGET, "sk_id_curr"), "split")
-    return [parts.where(F.col("split") == s).drop("split") for s in ("train", "validation", "test")]
+    """All rows in the three parts of the stratified split; gaps hold the training part's medians."""
+    apps = create_derived_features(applications(spark, sf_dir))
+    parts = stage(sampling.stratified_split(
+        apps.select("sk_id_curr", TARGET, *features), TARGET, "sk_id_curr"), "split")
+    middle = exact_quantiles(parts.where("split = 'train'"), features, [0.5])
+    filled = parts.withColumns({f: F.coalesce(present(f), F.lit(middle[f][0])) for f in features})
+    return [filled.where(F.col("split") == s).drop("split") for s in ("train", "validation", "test")]
 
 
 def _evaluated(name):
@@ -66,7 +70,7 @@ def batch_scored_submission(spark, sf_dir):
 def feature_importances(spark, sf_dir):
     train, validation, _ = splits(spark, sf_dir)
     ready = models.labelled(train, FEATURES, TARGET, "Random Forest")
-    fitted = models.model_pipeline("Random Forest", FEATURES, ready.count(), trees=20).fit(ready)
+    fitted = models.model_pipeline("Random Forest", FEATURES, ready.count()).fit(ready)
     return models.extract_feature_importances(fitted, validation, FEATURES, "sk_id_curr")
 
 
@@ -76,7 +80,7 @@ def permutation_importance(spark, sf_dir):
     ready = models.labelled(train, FEATURES, TARGET, "Logistic Regression")
     fitted = models.model_pipeline("Logistic Regression", FEATURES, ready.count()).fit(ready)
     rows = models.labelled(validation, FEATURES, TARGET, keep=["sk_id_curr"])
-    return rounded(models.permutation_importances(fitted, rows, FEATURES, "sk_id_curr", repeats=2),
+    return rounded(models.permutation_importances(fitted, rows, FEATURES, "sk_id_curr"),
                    "importance", "importance_std")
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 
 from loanloom.functions import scalars
+from loanloom.operators import models
+from loanloom.operators.schema import FeatureNameSanitizer
 from loanloom.operators.validate import (
     anomaly_records,
     refusal_counts,
@@ -14,9 +17,16 @@ from loanloom.operators.validate import (
 from loanloom.plans.quality_queries import rounded
 from loanloom.plans.registry import query as register
 from loanloom.plans.requests import REQUEST_SQL, requests
-from loanloom.plans.scoring import preprocess, score_applications, with_expression
+from loanloom.plans.scoring import (
+    SELECTED_FEATURES,
+    preprocess,
+    score_applications,
+    with_expression,
+    with_model,
+)
 from loanloom.session import shared_path
 from loanloom.sources import tables
+from loanloom.sources.models import load_checkpoint, save_checkpoint
 from loanloom.streaming.scoring import start_decision_stream, start_scoring
 
 
@@ -183,3 +193,50 @@ def stream_decision_counts(spark, sf_dir):
     path, log = shared_path(spark, "scored"), shared_path(spark, "log")
     start_decision_stream(_record_stream(spark, sf_dir), probability(), path, log).awaitTermination()
     return spark.read.parquet(path).groupBy("loan_approval").agg(F.count(F.lit(1)).alias("n"))
+
+
+# A tree over two flags: each of its four leaves holds the share of label 1 among its records.
+_FLAGS = ["code_gender", "flag_own_car"]
+_MODEL_SQL = _DECISION_SQL.replace("FROM valid v)", """FROM (SELECT * EXCLUDE (p), avg(CASE
+    WHEN sk_id_curr % 10 < CASE WHEN flag_own_car = 'Y' THEN CASE WHEN code_gender = 'M' THEN 3 ELSE 9 END
+      WHEN code_gender = 'M' THEN 6 ELSE 2 END THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
+    OVER (PARTITION BY code_gender, flag_own_car) AS p FROM valid) v)""")
+
+
+def _stored_tree(spark, sf_dir):
+    """Prepare the valid records, fit a tree on them, store it and load it again."""
+    prepared = preprocess(split_valid(requests(spark, sf_dir))[0])
+    man, car = F.col("code_gender") == 1, F.col("flag_own_car") == 1
+    # sibling leaves predict different labels, else the tree would merge them
+    below = F.when(car & man, 3).when(car, 9).when(man, 6).otherwise(2)
+    label = (F.col("__sk_id_curr") % 10 < below).cast("double")
+    tree = models.create_pipeline(
+        FeatureNameSanitizer(inputCols=SELECTED_FEATURES), models.assembler(_FLAGS, models.CHOSEN),
+        DecisionTreeClassifier(labelCol=models.LABEL, featuresCol=models.CHOSEN, maxDepth=2))
+    fitted = tree.fit(prepared.withColumn(models.LABEL, label))
+    folder = shared_path(spark, "models")
+    save_checkpoint(fitted, "Flag Tree", folder)
+    return with_model(load_checkpoint("Flag Tree", folder))
+
+
+@query("model_scored_decisions", _MODEL_SQL + " SELECT * FROM decision")
+def model_scored_decisions(spark, sf_dir):
+    return _flat(score_applications(requests(spark, sf_dir), _stored_tree(spark, sf_dir))[0])
+
+
+@query("model_scored_outcomes", _MODEL_SQL + """
+SELECT sk_id_curr, 'decision' AS outcome FROM decision
+UNION ALL SELECT sk_id_curr, 'refused' AS outcome FROM checked WHERE errors <> ''""")
+def model_scored_outcomes(spark, sf_dir):
+    """Every application once, as a decision or as a refusal."""
+    decisions, refused = score_applications(requests(spark, sf_dir), _stored_tree(spark, sf_dir))
+    return decisions.select("sk_id_curr", F.lit("decision").alias("outcome")).unionByName(
+        refused.select("sk_id_curr", F.lit("refused").alias("outcome")))
+
+
+@query("stream_model_scored", _MODEL_SQL + " SELECT * FROM decision")
+def stream_model_scored(spark, sf_dir):
+    decisions, refused, log = (shared_path(spark, n) for n in ("scored", "refused", "log"))
+    score = _stored_tree(spark, sf_dir)
+    start_scoring(_record_stream(spark, sf_dir), score, decisions, refused, log).awaitTermination()
+    return _flat(spark.read.parquet(decisions).drop("batch"))

@@ -186,3 +186,27 @@ def bootstrap_v_ci(spark, sf_dir):
 def statistical_analysis(spark, sf_dir):
     apps = stage(applications(spark, sf_dir).select(TARGET, *NUMERIC, *CATEGORICAL))
     return stats.run_statistical_analysis(apps, [*NUMERIC, *CATEGORICAL], TARGET)
+
+
+# With two values in the smaller group the pairs of places (0-based, untied) with a rank sum of
+# at most t + 1 can be counted one by one; twice their share is the exact p-value.
+@query("mann_whitney_p_small_group", """WITH v AS (SELECT CAST(o_orderkey AS DOUBLE) AS value,
+  CASE WHEN row_number() OVER (ORDER BY o_orderkey) IN (2, 5) THEN 1 ELSE 0 END AS y FROM orders),
+r AS (SELECT y, row_number() OVER (ORDER BY value) - 1 AS place, count(*) OVER () AS n FROM v),
+t AS (SELECT max(n) AS n, CAST(sum(place) - 1 AS BIGINT) AS u FROM r WHERE y = 1),
+k AS (SELECT n, u, least(u, 2 * (n - 2) - u) AS tail FROM t),
+c AS (SELECT sum(greatest(0, least(n - 1, tail + 1 - a) - a)) AS ways
+  FROM k, (SELECT place AS a FROM r) WHERE a <= tail + 1)
+SELECT n - 2 AS n0, CAST(2 AS BIGINT) AS n1,
+  round(least(1.0::DOUBLE, 2.0::DOUBLE * ways / (n * (n - 1) / 2)), 12) AS p FROM k, c""", with_applications=False)
+def mann_whitney_p_small_group(spark, sf_dir):
+    """Two values against all others of the order table, however many there are."""
+    from loanloom.functions.tails import mann_whitney_p
+
+    orders = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"))
+    picked = [r["key"] for r in orders.orderBy("key").limit(5).collect()]
+    table = stage(orders.select(F.col("key").cast("double").alias("value"), F.col("key").isin(
+        picked[1], picked[4]).cast("int").alias("y")))
+    r = stats.rank_statistics(table, ["value"], "y").first()
+    p = mann_whitney_p(r["u"], r["n0"], r["n1"], r["tie_term"])
+    return spark.createDataFrame([(int(r["n0"]), int(r["n1"]), round(p, 12))], "n0 bigint, n1 bigint, p double")

@@ -99,8 +99,9 @@ def test_sample_errors(spark):
         sampling.create_stratified_sample(df, "y", 11, "id")
 
 
-def test_half_even():
-    assert sampling._half_even(2.5) == 2 and sampling._half_even(0.5) == 0
+def test_half_even(spark):
+    halves = spark.createDataFrame([(2.5,), (0.5,), (3.5,)], "x double")
+    assert [r[0] for r in halves.select(sampling.half_even(F.col("x"))).collect()] == [2, 0, 4]
 
 
 def test_split_shares(spark):
