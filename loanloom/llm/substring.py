@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from loanloom.llm.text import steps, table
-from loanloom.llm.windows import merged, with_places, word_units
+from loanloom.llm.windows import merged, with_marks, word_units
 
 #: Words of the k-gram under which a window is filed.
 GRAM = 7
@@ -31,15 +31,15 @@ def duplicate_words(docs: DataFrame, length: int = 20) -> DataFrame:
     hash of the text; repeated rows are one document and get the same spans.  Null and empty
     texts have no words.  Further columns are not carried.
     """
-    found = with_places(docs, word_units, length, min(GRAM, length), earlier=True)
+    found = with_marks(docs, word_units, length, min(GRAM, length), earlier=True)
 
     def run(batches):
         for batch in batches:
-            out = [merged(x, length) for x in batch.column("places").to_pylist()]
+            out = [merged(x, length) for x in batch.column("marks").to_pylist()]
             yield table(doc_id=batch.column("doc_id"), text=batch.column("text"),
                         spans=_spans_array(out))
 
-    return found.select("doc_id", "text", "places").mapInArrow(
+    return found.select("doc_id", "text", "marks").mapInArrow(
         run, "doc_id long, text string, spans array<struct<start:int,stop:int>>")
 
 

@@ -4,8 +4,9 @@ Suffixes are ordered only through ``length`` bytes.  The first digit of a suffix
 under which its window is filed, so one pass deals all suffixes of a neighbourhood (a segment,
 see ``windows``) to the group of that digit; groups of one member leave at once.  The second
 digit is all the text a segment's suffixes cover: members that agree are equal through the
-full depth.  Groups that still differ go through a last pass by each suffix's own ``length``
-bytes.  What shares a group in the end is exactly the repeated windows.
+full depth.  Groups that still differ go on to a pass by the text that ``CHUNK`` neighbouring
+suffixes share, and what is still open after that to a last one by each suffix's own
+``length`` bytes.  What shares a group in the end is exactly the repeated windows.
 """
 
 from __future__ import annotations
@@ -16,10 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from loanloom.llm.text import steps, table
-from loanloom.llm.windows import byte_units, merged, with_places
+from loanloom.llm.windows import byte_units, merged, with_marks
 
 #: Bytes of the first digit.
 GRAM = 64
+#: Suffixes of a part that a later pass deals together.
+CHUNK = 8
 
 
 def repeated_bytes(docs: DataFrame, length: int = 200) -> DataFrame:
@@ -31,17 +34,18 @@ def repeated_bytes(docs: DataFrame, length: int = 200) -> DataFrame:
     texts under different ids do.  Null and empty texts have no bytes.  Further columns are
     not carried.
     """
-    found = with_places(docs, byte_units, length, min(GRAM, length), earlier=False)
+    found = with_marks(docs, byte_units, length, min(GRAM, length), earlier=False,
+                       chunk=CHUNK)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
     def run(batches):
         for batch in batches:
             rows = [[{"start": a, "stop": b} for a, b in merged(x, length)]
-                    for x in batch.column("places").to_pylist()]
+                    for x in batch.column("marks").to_pylist()]
             yield table(doc_id=batch.column("doc_id"), text=batch.column("text"),
                         spans=pa.array(rows, kind))
 
-    return found.select("doc_id", "text", "places").mapInArrow(
+    return found.select("doc_id", "text", "marks").mapInArrow(
         run, "doc_id long, text string, spans array<struct<start:int,stop:int>>")
 
 
