@@ -114,7 +114,7 @@ class Segment:
         doc = np.searchsorted(self.ends, found, "right")
         return found[found + size <= np.append(self.ends, 0)[doc]]
 
-    def near(self, phrase: tuple[int, ...], order: list[int], slack: int) -> np.ndarray:
+    def near(self, phrase: tuple[int, ...], slack: int) -> np.ndarray:
         """Starts and stops of places where the terms follow in order with at most ``slack``
         other words between neighbours: each list is matched to the nearest later posting."""
         if not all(self.counts[t] for t in phrase):
@@ -209,6 +209,30 @@ def _documents(segment: Segment, number: int, starts, sizes, owners, items, name
                        pa.list_(pa.string())))
 
 
+def near_matches(index: DataFrame, phrases: list[tuple[object, str]], slack: int) -> DataFrame:
+    """``doc_id``, ``phrase`` (its name), ``start`` and ``stop``: words of each given phrase in
+    order in one document, with at most ``slack`` other words between neighbours."""
+    longest = max((len(words_of(strings(pa.array([t])))[0]) for _, t in phrases), default=0)
+    wanted = Phrases(phrases, max(longest, 1))
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                segment = Segment(row, wanted.vocabulary)
+                for phrase, owners in zip(wanted.phrases, wanted.items):
+                    found = segment.near(phrase, slack)
+                    if len(found):
+                        doc = np.searchsorted(segment.ends, found[:, 0], "right")
+                        before = (segment.ends - segment.words)[doc]
+                        for o in owners:
+                            yield table(
+                                doc_id=pa.array([segment.doc_ids[d] for d in doc.tolist()], pa.int64()),
+                                phrase=[str(wanted.names[o])] * len(doc),
+                                start=found[:, 0] - before, stop=found[:, 1] - before)
+
+    return index.mapInArrow(run, "doc_id long, phrase string, start long, stop long")
+
+
 def _blocks(benchmark: DataFrame, rows: int):
     """The benchmark's rows, ``rows`` at a time."""
     block: list = []
