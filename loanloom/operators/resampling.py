@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import struct
 import zlib
 
 import numpy as np
@@ -16,53 +18,45 @@ def _code(text: str) -> int:
     return zlib.crc32(text.encode())
 
 
+def _weights(seed: int, feature: str, values: np.ndarray, counts: np.ndarray, label: int,
+             replicates: int) -> np.ndarray:
+    """How often each value's rows are drawn in each replicate: Poisson numbers from a generator
+    that the seed, feature, class and value alone decide."""
+    out = np.zeros((len(values), replicates))
+    for i in np.flatnonzero(counts).tolist():
+        name = f"{seed}:{feature}:{label}:".encode() + struct.pack("<d", values[i])
+        key = int.from_bytes(hashlib.blake2b(name, digest_size=16).digest(), "little")
+        out[i] = np.random.Generator(np.random.Philox(key=key)).poisson(counts[i], replicates)
+    return out
+
+
 def bootstrap_replicates(hist: DataFrame, replicates: int = 500, seed: int = 42) -> DataFrame:
     """``feature, replicate, delta`` of Cliff's delta under resampling in each class.
 
-    ``hist`` holds counted values per value range (``feature, part, value, n0, n1``).
-    Resampling rows with replacement draws multinomial counts over distinct values; that
-    draw splits exactly into a draw of the range totals, which every task repeats from the
-    same seed, and a draw inside each range.  A range's pairs then need only its own values
-    and the totals of earlier ranges, so no task sees a whole feature.
+    ``hist`` holds counted values per value range (``feature, part, value, n0, n1``).  Rows
+    are drawn by the Poisson bootstrap: each one enters a replicate a Poisson(1) number of
+    times, so draws of different rows are independent, and those of equal ones add up to a
+    Poisson number of their count.  A draw depends on the value, not on where its row or
+    range lies, so any cut into ranges gives the same replicates, and the cost is linear.  A
+    range's pairs need only its own values and the totals of earlier ranges.
     """
-    spark = hist.sparkSession
-    # features x ranges short rows
-    totals: dict[str, list[tuple[int, int, int]]] = {}
-    rows = hist.groupBy("feature", "part").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    for r in rows.collect():
-        totals.setdefault(r["feature"], []).append((r["part"], r["n0"], r["n1"]))
-    shared = spark.sparkContext.broadcast({f: sorted(t) for f, t in totals.items()})
 
     def draw(pdf: pd.DataFrame) -> pd.DataFrame:
         feature, part = pdf["feature"].iloc[0], int(pdf["part"].iloc[0])
-        table = shared.value[feature]
-        counts = pdf.sort_values("value")[["n0", "n1"]].to_numpy(dtype="float64")
-        place = [p for p, _, _ in table].index(part)
-        per_class = []
-        for c in (0, 1):
-            sizes = np.array([row[1 + c] for row in table], dtype="int64")
-            total = int(sizes.sum())
-            rng = np.random.default_rng([seed, _code(feature), c])
-            if total == 0:
-                per_class.append(np.zeros(replicates, dtype="int64"))
-            else:
-                per_class.append(rng.multinomial(total, sizes / total, size=replicates)[:, place])
-        rng = np.random.default_rng([seed, _code(feature), 2, part])
-        inside = np.zeros(replicates)
-        shares = [counts[:, c] / counts[:, c].sum() if counts[:, c].sum() else None for c in (0, 1)]
-        step = max(1, CELLS_AT_ONCE // len(counts))
-        for start in range(0, replicates, step):
-            stop = min(start + step, replicates)
-            w = [
-                rng.multinomial(per_class[c][start:stop], shares[c]).astype("float64")
-                if shares[c] is not None else np.zeros((stop - start, len(counts)))
-                for c in (0, 1)
-            ]
-            below = np.cumsum(w[1], axis=1) - w[1]
-            inside[start:stop] = (w[0] * (below + w[1] / 2)).sum(axis=1)
+        pdf = pdf.sort_values("value")
+        values = pdf["value"].to_numpy(dtype="float64")
+        counts = [pdf[c].to_numpy(dtype="float64") for c in ("n0", "n1")]
+        totals, inside = np.zeros((2, replicates)), np.zeros(replicates)
+        step = max(1, CELLS_AT_ONCE // replicates)
+        for at in range(0, len(values), step):
+            own = slice(at, at + step)
+            w = [_weights(seed, feature, values[own], counts[c][own], c, replicates) for c in (0, 1)]
+            below = totals[1] + np.cumsum(w[1], axis=0) - w[1]
+            inside += (w[0] * (below + w[1] / 2)).sum(axis=0)
+            totals += [w[0].sum(axis=0), w[1].sum(axis=0)]
         return pd.DataFrame({
             "feature": feature, "part": part, "replicate": np.arange(replicates, dtype="int32"),
-            "m0": per_class[0], "m1": per_class[1], "u": inside,
+            "m0": totals[0].astype("int64"), "m1": totals[1].astype("int64"), "u": inside,
         })
 
     drawn = hist.groupBy("feature", "part").applyInPandas(

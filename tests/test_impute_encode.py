@@ -97,32 +97,42 @@ def test_large_label_table(spark):
 
 
 def test_one_hot_unseen_and_constant(frame):
-    train = frame([(1, "A", "same"), (2, "B", "same"), (3, "C", "same")], "i int, f string, c string")
-    test = frame([(1, "D", "same"), (2, "A", "same")], "i int, f string, c string")
+    train = frame([(1, "rail", "flat"), (2, "road", "flat"), (3, "sea", "flat")], "i int, f string, c string")
+    test = frame([(1, "air", "flat"), (2, "rail", "flat")], "i int, f string, c string")
     one, two = encode.encode_categorical_features(train, test, [], ["f", "c"])
-    assert one.columns == ["i", "f_a", "f_b", "f_c"] == two.columns
+    assert one.columns == ["i", "f_rail", "f_road", "f_sea"] == two.columns
     assert [tuple(r)[1:] for r in two.orderBy("i").collect()] == [(0, 0, 0), (1, 0, 0)]
 
 
 def test_leave_one_out(frame):
-    train = frame(list(zip(range(5), ["low", "high", "medium", "high", "low"], [0, 1, 0, 1, 0], strict=True)),
-                  "i int, f string, target int")
-    test = frame([(0, "medium"), (1, "low"), (2, "high"), (3, None), (4, "new")], "i int, f string")
+    rows = [("north", 1), ("south", 0), ("north", 0), ("east", 1), ("south", 0), ("north", 1), ("south", 1)]
+    train = frame([(i, *r) for i, r in enumerate(rows)], "i int, f string, target int")
+    test = frame([(0, "east"), (1, "north"), (2, "south"), (3, None), (4, "west")], "i int, f string")
     coder = encode.LeaveOneOutEncoder.fit(train, ["f"], "target")
-    assert [r.f for r in coder.transform(train, True).orderBy("i").collect()] == [0, 1, 0.4, 1, 0]
-    assert [r.f for r in coder.transform(test).orderBy("i").collect()] == [0.4, 0, 1, 0.4, 0.4]
+    mean = 4 / 7  # of all rows, for a category with no other row
+    assert [r.f for r in coder.transform(train, True).orderBy("i").collect()] == pytest.approx(
+        [0.5, 0.5, 1.0, mean, 0.5, 0.5, 0.0])
+    assert [r.f for r in coder.transform(test).orderBy("i").collect()] == pytest.approx(
+        [mean, 2 / 3, 1 / 3, mean, mean])
 
 
 def test_ordinal(frame):
-    df = frame(list(enumerate(["low", "medium", "high", "medium", "low", "odd", None])), "i int, f string")
-    got = encode.ordinal_encode(df, {"f": ["low", "medium", "high"]}).orderBy("i").collect()
-    assert [r.f for r in got] == [0, 1, 2, 1, 0, -1, -1]
+    df = frame(list(enumerate(["warm", "cold", "hot", None, "cold", "damp", "warm"])), "i int, f string")
+    got = encode.ordinal_encode(df, {"f": ["cold", "warm", "hot"]}).orderBy("i").collect()
+    assert [r.f for r in got] == [1, 0, 2, -1, 0, -1, 1]
     with pytest.raises(ValueError):
         encode.CategoricalEncoder(ordinal=["f"]).fit(df)
     with pytest.raises(ValueError):
         encode.CategoricalEncoder(target_encoded=["f"], target_column="t").fit(df)
 
 
+def test_one_hot_has_no_cap_of_its_own(spark):
+    train = spark.range(1500).select(F.concat(F.lit("v"), F.col("id")).alias("f"))
+    assert len(encode.OneHotEncoder.fit(train, ["f"]).categories["f"]) == 1500
+    with pytest.raises(ValueError):
+        encode.OneHotEncoder.fit(train, ["f"], most=1000)
+
+
 def test_target_is_renamed_and_last(frame):
     train = frame([(1, "a", 5), (0, "b", 6)], "Default int, f string, n int")
     one, two = encode.encode_categorical_features(train, train.drop("Default"), ["f"], [], target_column="Default")

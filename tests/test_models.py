@@ -94,10 +94,22 @@ def test_tuning_resumes(table, spark):
     two = tuning.optimize_hyperparameters(*parts, FEATURES, "xgboost", path, n_trials=2, **options)
     assert sorted(r.trial_id for r in two.trials.collect()) == [0, 1]
     assert two.f2_score >= one.f2_score and two.metrics.count() == 1
+    assert len(two.features) == 2 and two.features == two.model.stages[0].getInputCols()
     assert store.load_progress(spark, progress, 1).count() == parts[1].count()
     assert store.load_progress(spark, progress, 9) is None
 
 
+def test_trials_that_end_together_are_all_kept(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = shared_path(spark, "trials")
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(lambda i: store.append_trial(spark, path, i, {"a": i}, i / 40, ["x"]), range(40)))
+    store.append_trial(spark, path, 7, {"a": -7}, 0.0)
+    got = {r["trial_id"]: r for r in store.read_trials(spark, path).collect()}
+    assert sorted(got) == list(range(40)) and got[7]["params"] == '{"a": -7}' and got[8]["selected"] == ["x"]
+
+
 def test_search_space():
     space = tuning.search_space("lightgbm")
     params = tuning.sample_params(space, 42, 3)

@@ -23,6 +23,15 @@ def test_narrowing_equals_sorting(spark):
     assert got == exact_quantiles(df, ["a", "b"], probs)
 
 
+def test_infinite_quantiles_on_both_paths(frame):
+    rows = [(float(v),) for v in range(40)] + [(math.inf,)] * 9 + [(-math.inf,)] * 5 + [(3.0,)] * 30
+    df = frame(rows, "x double")
+    probs = [0.0, 0.02, 0.05, 0.06, 0.3, 0.5, 0.88, 0.895, 0.9, 1.0]
+    narrowed = exact_quantiles(df, ["x"], probs, direct_rows=10, grid=4)["x"]
+    assert narrowed == exact_quantiles(df, ["x"], probs)["x"]
+    assert narrowed[0] == -math.inf and narrowed[-1] == math.inf and math.isfinite(narrowed[4])
+
+
 def test_quantiles_of_nothing(frame):
     df = frame([(None, math.nan)], "a double, b double")
     assert exact_quantiles(df, ["a", "b"], [0.5]) == {"a": [None], "b": [None]}

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from loanloom.functions import tails
 from loanloom.operators import resampling, stats
 from loanloom.operators.rank import class_histogram
 
@@ -129,3 +130,41 @@ def test_simulated_tables(spark):
     assert same["s"].ci_low == got["s"].ci_low
     with pytest.raises(ValueError):
         resampling.resample_tables(spark, {"z": [[0, 0], [0, 0]]}, 10)
+
+
+def test_bootstrap_does_not_follow_the_ranges(spark):
+    df = spark.range(400).select((F.col("id") * 37 % 101 / 10).alias("x"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    results = []
+    for ranges, partitions in ((1, 1), (5, 7), (40, 64)):
+        hist = class_histogram(df.repartition(partitions), ["x"], "y", ranges=ranges)
+        results.append(sorted(map(tuple, resampling.bootstrap_replicates(hist, 50, 9).collect())))
+    assert results[0] == results[1] == results[2]
+
+
+def test_exact_tail_for_small_and_large_groups():
+    from collections import Counter
+    from itertools import combinations
+
+    for n1, n2 in ((1, 6), (2, 7), (3, 6), (5, 4)):
+        counts = Counter(sum(c) - n1 * (n1 - 1) // 2 for c in combinations(range(n1 + n2), n1))
+        for u in range(n1 * n2 + 1):
+            tail = sum(v for k, v in counts.items() if k >= max(u, n1 * n2 - u))
+            assert tails.mann_whitney_exact(u, n1, n2) == pytest.approx(min(1, 2 * tail / counts.total()))
+    # two values, three steps from the end: 6 of all pairs on either side
+    for n in (900, 999, 10**6):
+        assert tails.mann_whitney_p(3, 2, n, 0) == pytest.approx(12 / ((n + 2) * (n + 1) / 2))
+
+
+def test_chi_square_beyond_a_thousand_levels(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(0, 1200, 6000), rng.integers(0, 1300, 6000)
+    df = spark.createDataFrame(list(zip(x.tolist(), y.tolist(), strict=True)), "x int, y int")
+    table = np.zeros((1200, 1300))
+    np.add.at(table, (x, y), 1)
+    table = table[table.sum(1) > 0][:, table.sum(0) > 0]
+    expected = table.sum(1)[:, None] * table.sum(0) / 6000
+    got = stats.chi_square(df, "x", "y").first()
+    assert got["chi2"] == pytest.approx(((table - expected) ** 2 / expected).sum())
+    assert (got["n_rows"], got["n_columns"], got["n"]) == (*table.shape, 6000)
