@@ -8,12 +8,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import bpe, leaks, minhash, pii, quality, shards, substring, suffixes, tokencounts, toxicity
+from loanloom.llm import (
+    bpe,
+    check_sql,
+    leaks,
+    minhash,
+    pii,
+    quality,
+    shards,
+    substring,
+    suffixes,
+    tokencounts,
+    toxicity,
+)
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_circulant_minhash": check_sql.NEAR_DUPLICATES,
+    "op2_lempel_ziv_dedup": check_sql.EARLIER_WORDS,
+    "op4_positional_decontamination": check_sql.LEAKS,
+}
 
 
 def query(fn):
