@@ -79,9 +79,15 @@ def _rules() -> list[tuple[str, Column]]:
 
 
 def validate_applications(df: DataFrame) -> DataFrame:
-    """Add ``errors``: the reasons a record is refused, empty when it is valid."""
+    """Add ``errors``: the reasons a record is refused, empty when it is valid.
+
+    A record that could not be read (``malformed`` holds its text) has that one reason.
+    """
     reasons = [F.when(violated, F.lit(reason)) for reason, violated in _rules()]
-    return df.withColumn("errors", F.array_compact(F.array(*reasons)))
+    errors = F.array_compact(F.array(*reasons))
+    if "malformed" in df.columns:
+        errors = F.when(F.col("malformed").isNotNull(), F.array(F.lit("record is not readable"))).otherwise(errors)
+    return df.withColumn("errors", errors)
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +49,24 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_written: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def staged_files(spark: SparkSession) -> Iterator[None]:
+    """Delete what :func:`stage` writes inside the block once the block ends.
+
+    Write or collect results inside: DataFrames read the staged files until then.
+    """
+    _written.append([])
+    try:
+        yield
+    finally:
+        for path in _written.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -55,4 +75,6 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     path = shared_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
+    if _written:
+        _written[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -54,10 +54,16 @@ def write_submission(df: DataFrame, id_column: str, probability: str, path: str)
     write_csv(submission(df, id_column, probability), path)
 
 
-def read_applications(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """Application records, one JSON object per line, as a table or a stream."""
-    reader = spark.readStream if stream else spark.read
-    return reader.schema(APPLICATION_SCHEMA).json(path)
+def read_applications(spark: SparkSession, path: str, stream: bool = False,
+                      files_per_batch: int = 1000) -> DataFrame:
+    """Application records, one JSON object per line, as a table or a stream.
+
+    A line that is no such object keeps its text in ``malformed``.  A stream takes at most
+    ``files_per_batch`` files at once, so a backlog is several batches.
+    """
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch) if stream else spark.read
+    return reader.schema(f"{APPLICATION_SCHEMA}, malformed string").option(
+        "columnNameOfCorruptRecord", "malformed").json(path)
 
 
 def parse_applications(df: DataFrame, column: str = "value") -> DataFrame:

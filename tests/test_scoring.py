@@ -131,3 +131,21 @@ def test_a_stored_model_scores(records, spark):
     got = {r["sk_id_curr"]: r["probability_of_default"] for r in decisions.collect()}
     assert sorted(got) == list(range(40)) and got[39] > got[0]
     assert [r["sk_id_curr"] for r in refused.collect()] == [40]
+
+
+def test_lines_that_are_no_records_keep_their_text(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"sk_id_curr": 3, "amt_credit": "many"\nno json\n')
+    _, refused = decide(tables.read_applications(spark, str(tmp_path)))
+    got = refused.select("errors", "malformed").collect()
+    assert [r["errors"] for r in got] == [["record is not readable"]] * 2 and got[1]["malformed"] == "no json"
+
+
+def test_staged_files_go(spark):
+    import os
+
+    from loanloom.session import stage, staged_files
+
+    with staged_files(spark):
+        path = stage(spark.range(3)).inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
