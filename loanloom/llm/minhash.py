@@ -8,8 +8,8 @@ band; texts that agree in a band meet in its bucket.
 Texts with one set of shingles are one class and only its first text goes on.  In a bucket
 every class is compared with the bucket's first one, so a group of copies costs as many
 comparisons as it has members.  Classes of one bucket that are still in different components
-after that are compared too, so no link is lost.  A band says nothing final: a pair counts
-only if the full sets of shingles agree.
+after that are compared too, unless counts of their shingles rule it out, so no link is
+lost.  A band says nothing final: a pair counts only if the full sets of shingles agree.
 """
 
 from __future__ import annotations
@@ -59,11 +59,16 @@ def signatures(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-SETS = "id long, tk long, doc_id long, n long, f1 long, f2 long, bands array<long>, s1 long, s2 long"
+#: Parts of all shingles; a set is odd or even in each of them.
+PARTS = 1024
+
+SETS = ("id long, tk long, doc_id long, n long, f1 long, f2 long, bands array<long>, s1 long, s2 long, "
+        "odd array<long>")
 
 
 def sets(texts: DataFrame, size: int) -> DataFrame:
-    """Per text: size and fingerprint of its set, its bands, and one bit of each coordinate."""
+    """Per text: size and fingerprint of its set, its bands, one bit of each coordinate, and
+    whether it has an odd number of shingles in each of ``PARTS`` parts."""
     def run(batches):
         for batch in batches:
             for part, some in steps(batch, limit=1 << 19):
@@ -80,6 +85,10 @@ def sets(texts: DataFrame, size: int) -> DataFrame:
                     bands[full, b] = key
                 bits[full, :COORDINATES] = (rows & np.uint64(1)).astype(np.uint8)
                 packed = np.packbits(bits, axis=1).view(np.int64)
+                part_of = (mix(hashes, 7) >> np.uint64(54)).astype(np.int64)
+                part_of += np.repeat(np.arange(len(n)), n) * PARTS
+                odd = np.bincount(part_of, minlength=len(n) * PARTS) & 1
+                odd = np.packbits(odd.astype(np.uint8)).view(np.int64)
                 prints = []
                 for turn in (5, 6):
                     sums = np.append(np.uint64(0), np.cumsum(mix(hashes, turn)))
@@ -89,7 +98,9 @@ def sets(texts: DataFrame, size: int) -> DataFrame:
                     f1=prints[0], f2=prints[1],
                     bands=pa.ListArray.from_arrays(
                         np.arange(len(n) + 1, dtype=np.int32) * BANDS, signed(bands.ravel())),
-                    s1=np.ascontiguousarray(packed[:, 0]), s2=np.ascontiguousarray(packed[:, 1]))
+                    s1=np.ascontiguousarray(packed[:, 0]), s2=np.ascontiguousarray(packed[:, 1]),
+                    odd=pa.ListArray.from_arrays(
+                        np.arange(len(n) + 1, dtype=np.int32) * (PARTS // 64), pa.array(odd)))
 
     return texts.select("id", "tk", "doc_id", "text").mapInArrow(run, SETS)
 
@@ -166,7 +177,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     first = F.min(F.struct("num", "id", "tk")).alias("first")
     classes = stage(rows.filter("n > 0").groupBy("f1", "f2").agg(
         first, F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("s1").alias("s1"),
-        F.first("s2").alias("s2")).select("first.*", "f1", "f2", "n", "bands", "s1", "s2"), "classes")
+        F.first("s2").alias("s2"), F.first("odd").alias("odd")).select(
+        "first.*", "f1", "f2", "n", "bands", "s1", "s2", "odd"), "classes")
     linked = _links(texts, classes, size, percent)
     roots = classes.select("f1", "f2", "num").join(
         linked.withColumnRenamed("node", "num"), "num", "left").select(
@@ -206,22 +218,35 @@ def _links(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
 
     pairs = stage(members.select(F.col("c"), info.alias("x")).filter(F.col("c.num") < F.col("x.num")).filter(
         plausible("c", "x")).select(F.col("c.num").alias("a"), F.col("x.num").alias("b")).distinct(), "pairs")
-    # texts that any comparison can need: members of shared buckets with a plausible partner
+    # texts that any comparison can need
     needed = members.select("num").distinct().join(classes.select("num", "id", "tk"), "num")
     bodies = stage(texts.select("id", "tk", "text").join(needed, ["id", "tk"]).dropDuplicates(["num"]).select(
         "num", "text"), "bodies")
     good = stage(verified(pairs, bodies, size, percent), "links")
     roots = components(good)
+    rest = stage(_open_pairs(members, classes, roots, plausible, percent).join(
+        pairs, ["a", "b"], "left_anti"), "pairs")
+    more = stage(verified(rest, bodies, size, percent), "links")
+    return components(good.unionByName(more))
+
+
+def _open_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame, plausible, percent: int) -> DataFrame:
+    """Pairs (``a``, ``b``) of one bucket and two components that can still be linked.
+
+    Copies with edits of their own are like the bucket's first class and less so like each
+    other.  Two sets differ in at least as many shingles as there are parts in which one is
+    odd and the other even; where that is too many, the pair falls without being looked at.
+    """
     labelled = stage(members.select("bucket", "num", "n", "s1", "s2").join(
         roots.withColumnRenamed("node", "num"), "num", "left").withColumn(
         "root", F.coalesce("root", "num")), "labelled")
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter(
         "r0 < r1").select("bucket")
-    open_ = labelled.join(mixed, "bucket").select("bucket", "root", info.alias("x"))
-    rest = open_.alias("l").join(open_.select(
-        "bucket", F.col("root").alias("other"), F.col("x").alias("y")).alias("r"), "bucket").filter(
-        F.col("root") < F.col("other")).filter(plausible("x", "y")).select(
+    left = stage(labelled.join(mixed, "bucket").join(classes.select("num", "odd"), "num").select(
+        "bucket", "root", F.struct("num", "n", "s1", "s2", "odd").alias("x")), "open")
+    pairs = left.join(left.select("bucket", F.col("root").alias("other"), F.col("x").alias("y")), "bucket")
+    apart = sum((F.bit_count(F.col("x.odd")[i].bitwiseXOR(F.col("y.odd")[i])) for i in range(1, PARTS // 64)),
+                F.bit_count(F.col("x.odd")[0].bitwiseXOR(F.col("y.odd")[0])))
+    bound = (100 + percent) * apart <= (100 - percent) * (F.col("x.n") + F.col("y.n"))
+    return pairs.filter((F.col("root") < F.col("other")) & plausible("x", "y") & bound).select(
         F.least("x.num", "y.num").alias("a"), F.greatest("x.num", "y.num").alias("b")).distinct()
-    rest = stage(rest.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    more = verified(rest, bodies, size, percent)
-    return components(good.unionByName(stage(more, "links")))
