@@ -48,14 +48,13 @@ def outcome_counts(
 ) -> DataFrame:
     """``model, tn, fp, fn, tp`` in one pass for all score columns."""
     y = F.col(label)
-    rows = []
-    for s in scores:
+    cells, rows = [], []
+    for i, s in enumerate(scores):
         hit = F.col(s) >= threshold
-        rows.append(F.struct(
-            F.count_if((y == 0) & ~hit).alias("tn"), F.count_if((y == 0) & hit).alias("fp"),
-            F.count_if((y == 1) & ~hit).alias("fn"), F.count_if((y == 1) & hit).alias("tp"),
-        ).alias(s))
-    return df.agg(*rows).unpivot([], list(scores), "model", "s").select("model", "s.*")
+        counts = {"tn": (y == 0) & ~hit, "fp": (y == 0) & hit, "fn": (y == 1) & ~hit, "tp": (y == 1) & hit}
+        cells += [F.count_if(c).alias(f"{name}{i}") for name, c in counts.items()]
+        rows.append(F.struct(F.lit(s).alias("model"), *[F.col(f"{n}{i}").alias(n) for n in counts]))
+    return df.agg(*cells).select(F.explode(F.array(*rows)).alias("s")).select("s.*")
 
 
 def confusion_matrix(
