@@ -170,6 +170,21 @@ def test_contexts_find_unseen_identifiers(documents):
     assert not any(c.startswith("__") for c in plain.columns)
 
 
+def test_base_spans_seed_contexts(documents):
+    """An unseen short id after words that lead to mail addresses, and one found over a second context."""
+    rows = [(i, f"please contact user{i}@mail.example.org soon") for i in range(8)]
+    rows += [(20 + i, f"please contact k{i}x7 today") for i in range(30)]  # many more unseen than known values
+    rows += [(60 + i, f"the member called k{i}x7 left") for i in range(6)] + [(70, "the member called éa9 left")]
+    # a context of ordinary words: mail addresses stand in it by chance
+    rows += [(80 + i, f"went to the user{i}@mail.example.org") for i in range(8)]
+    rows += [(100 + i, f"went to the {w} again") for i, w in enumerate("house river town lake".split())]
+    rows += [(110, "went to the b52 again")]
+    got = {r["doc_id"]: r["n_id"] for r in pii.report(documents(rows)).collect()}
+    assert all(got[20 + i] == 1 for i in range(30))
+    assert all(got[i] == 1 for i in [*range(60, 66), 70])
+    assert not any(got[i] for i in [*range(8), *range(80, 88), *range(100, 104), 110])
+
+
 def test_redaction(documents):
     df = documents([(1, "write a@b.c or 1.2.3.4 now"), (2, None), (3, ""), (None, "x +1 (555) 010-9999"), (3, "")])
     got = sorted(map(str, (r["text"] for r in pii.redacted(df).collect())))
