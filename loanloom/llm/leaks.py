@@ -116,18 +116,23 @@ class Segment:
 
     def near(self, phrase: tuple[int, ...], slack: int) -> np.ndarray:
         """Starts and stops of places where the terms follow in order with at most ``slack``
-        other words between neighbours: each list is matched to the nearest later posting."""
+        other words between neighbours; of several stops of a start, the first one.
+
+        Lists are matched from the last term back.  Postings that can't reach the end are left
+        out before the term ahead looks for its nearest one; of those that can, a nearer one
+        never ends later.
+        """
         if not all(self.counts[t] for t in phrase):
             return np.zeros((0, 2), dtype=np.int64)
-        first = self.list_of(phrase[0]).astype(np.int64)
-        reach = [first]
-        for term in phrase[1:]:
+        good = self.list_of(phrase[-1]).astype(np.int64)
+        stops = good + 1
+        for term in phrase[-2::-1]:
             there = self.list_of(term).astype(np.int64)
-            at = np.searchsorted(there, reach[-1] + 1)
-            ok = (at < len(there))
-            ok[ok] &= there[at[ok]] - reach[-1][ok] <= slack + 1
-            reach = [r[ok] for r in reach] + [there[at[ok]]]
-        out = np.stack([reach[0], reach[-1] + 1], axis=1)
+            at = np.searchsorted(good, there, "right")
+            ok = at < len(good)
+            ok[ok] = good[at[ok]] - there[ok] <= slack + 1
+            good, stops = there[ok], stops[at[ok]]
+        out = np.stack([good, stops], axis=1)
         doc = np.searchsorted(self.ends, out[:, 0], "right")
         return out[out[:, 1] <= np.append(self.ends, 0)[doc]]
 
@@ -219,8 +224,8 @@ def near_matches(index: DataFrame, phrases: list[tuple[object, str]], slack: int
         for batch in batches:
             for row in batch.to_pylist():
                 segment = Segment(row, wanted.vocabulary)
-                for phrase, owners in zip(wanted.phrases, wanted.items):
-                    found = segment.near(phrase, slack)
+                for i in np.flatnonzero((segment.counts > 0)[wanted.grid].all(axis=1)).tolist():
+                    found, owners = segment.near(wanted.phrases[i], slack), wanted.items[i]
                     if len(found):
                         doc = np.searchsorted(segment.ends, found[:, 0], "right")
                         before = (segment.ends - segment.words)[doc]

@@ -85,6 +85,29 @@ def test_proximity(documents):
     assert near(2) == [(1, "x", 1, 5), (2, "x", 0, 2)]
 
 
+def test_proximity_with_repeated_words(documents):
+    """Against all ways to place the words; 'a b b x c' has 'a b c' with the second b only."""
+    rng = random.Random(6)
+    rows = [(0, "a b b x c")] + [(i, " ".join(rng.choices("abcx", k=rng.randint(0, 25)))) for i in range(1, 60)]
+    phrases = [("p", "a b c"), ("q", "b a b"), ("r", "a a"), ("s", "c b a b"), ("t", "x"), ("u", "a z")]
+
+    def stops(words, want, at, slack):
+        if words[at] != want[0]:
+            return []
+        if len(want) == 1:
+            return [at + 1]
+        return [s for to in range(at + 1, min(at + slack + 2, len(words)))
+                for s in stops(words, want[1:], to, slack)]
+
+    index = leaks.build_index(documents(rows))
+    for slack in (0, 1, 3):
+        want = [(i, name, at, min(found)) for i, text in rows for name, phrase in phrases
+                for at in range(len(text.split())) if (found := stops(text.split(), phrase.split(), at, slack))]
+        got = sorted(tuple(r) for r in leaks.near_matches(index, phrases, slack).collect())
+        assert got == sorted(want)
+        assert ((0, "p", 0, 5) in got) == (slack > 0)
+
+
 def test_quality_counts_and_verdicts(spark, sf_dir, sample):
     df, rows = sample
     got = {r["doc_id"]: r for r in QUERIES["op6_perplexity_rules"](spark, sf_dir).collect()}
