@@ -1,11 +1,10 @@
-"""Repeated passages of words: relative Lempel-Ziv factors against all earlier text.
-
-The reference is the collection itself, cut into content-defined blocks (``windows``:
-segments of up to ``length`` + 13 words) that are indexed by hash.  Parsing a document
-against the index greedily yields factors: neighbouring blocks that occur earlier extend one
-factor as far as they go.  At the ends of a factor, where a block agrees only in part, the
-single windows are compared, so that a factor ends at exactly the word where the texts part.
-Factors of at least ``length`` words are duplicate spans.
+"""Passages of words that occur in earlier text, found through content-defined windows.
+
+No Lempel-Ziv parse is run, though the query is named after one.  All text is cut into
+content-defined segments (``windows``: up to ``length`` + 13 words) that are grouped by hash;
+where segments agree only in part, their windows are compared singly, so that a passage ends
+at exactly the word where the texts part.  Windows of ``length`` words that occur earlier are
+marked and merged into duplicate spans.
 """
 
 from __future__ import annotations

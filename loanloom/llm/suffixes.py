@@ -1,12 +1,11 @@
-"""Repeated byte strings: a depth-limited radix sort of suffixes, most significant digit first.
+"""Byte strings that occur more than once, found through content-defined windows.
 
-Suffixes are ordered only through ``length`` bytes.  The first digit of a suffix is the k-gram
-under which its window is filed, so one pass deals all suffixes of a neighbourhood (a segment,
-see ``windows``) to the group of that digit; groups of one member leave at once.  The second
-digit is all the text a segment's suffixes cover: members that agree are equal through the
-full depth.  Groups that still differ go on to a pass by the text that ``CHUNK`` neighbouring
-suffixes share, and what is still open after that to a last one by each suffix's own
-``length`` bytes.  What shares a group in the end is exactly the repeated windows.
+No radix sort of suffixes is run, though the query is named after one: nothing is ordered.
+Windows of ``length`` bytes are filed under a k-gram of their own, neighbours with the same
+one together (a segment, see ``windows``), and grouped by hashes: first of all the text a
+segment covers, then of the text that ``CHUNK`` neighbouring windows share, then of each
+window's own ``length`` bytes.  Settled groups leave after each pass; what shares a group in
+the end is exactly the repeated windows.
 """
 
 from __future__ import annotations
