@@ -49,6 +49,12 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a table written by this session, on whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 _written: list[list[str]] = []
 
 
@@ -56,18 +62,20 @@ _written: list[list[str]] = []
 def staged_files(spark: SparkSession) -> Iterator[None]:
     """Delete what :func:`stage` writes inside the block once the block ends.
 
-    Write or collect results inside: DataFrames read the staged files until then.
+    Write or collect results inside: DataFrames read the staged files until then.  A result
+    written with ``outlive`` belongs to the block around this one, if there is any.
     """
-    _written.append([])
+    own: list[str] = []
+    _written.append(own)
     try:
         yield
     finally:
-        for path in _written.pop():
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _written[:] = [other for other in _written if other is not own]
+        for path in own:
+            delete(spark, path)
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", outlive: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Multi-pass operators (quantile narrowing, sampling, nearest neighbours, model fits)
@@ -75,6 +83,6 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     path = shared_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
-    if _written:
-        _written[-1].append(path)
+    if len(_written) > outlive:
+        _written[-1 - outlive].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
