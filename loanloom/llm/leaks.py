@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm.text import ALNUM_WORD, covered, keyed, matching, steps, strings, table
-from loanloom.session import stage
+from loanloom.session import stage, staged_files
 
 INDEX = ("doc_ids array<long>, tks array<long>, word_counts array<int>, terms binary, term_counts binary, postings binary")
 
@@ -277,9 +277,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10,
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """Rows of ``docs`` without any benchmark window, with all their columns."""
-    hit = find_leaks(docs, benchmark, window).filter(F.size("spans") > 0).select(
-        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "tk").distinct()
+    """Rows of ``docs`` without any benchmark window, with all their columns.
+
+    Null and empty texts stay; repeated rows stay or go together; without benchmark rows or
+    documents all rows stay.  Columns may have any names.  The index is deleted once the
+    documents that are hit are known.
+    """
+    with staged_files(docs.sparkSession):
+        hit = stage(find_leaks(docs, benchmark, window).filter(F.size("spans") > 0).select(
+            F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "tk").distinct(), "leaks-hit", outlive=True)
     return matching(docs, hit, "left_anti")
 
 

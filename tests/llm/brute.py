@@ -134,3 +134,13 @@ RULES = {
 def base_spans(text):
     return [f"{kind}:{m.start()}:{m.end()}" for kind, (rule, good) in RULES.items()
             for m in re.finditer(rule, text or "") if good(m[0])]
+
+
+def redacted(text, spans):
+    """``spans`` (start, stop, kind) in order; a span that starts inside an earlier one only lengthens it."""
+    out, at = [], 0
+    for start, stop, kind in spans:
+        if start >= at:
+            out += [text[at:start], f"<{kind}>"]
+        at = max(at, stop)
+    return "".join(out) + text[at:]

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from loanloom.llm import bpe
+from loanloom.llm import bpe, pii
 from loanloom.llm.queries import QUERIES, RANKS
 from loanloom.llm.text import strings
 from loanloom.session import stage
@@ -56,9 +56,13 @@ def test_no_benchmark_passage_is_left(stages, spark, sf_dir):
 
 def test_personal_data_are_gone(stages):
     before, after = (texts(x) for x in stages["personal data"])
+    found = {r["doc_id"]: r["spans"] for r in pii.report(stages["personal data"][0]).collect()}
+    assert any("<email>" in t for t in after.values())
     assert set(before) == set(after)
     for i, text in after.items():
         assert not brute.base_spans(text)
+        spans = sorted((int(a), int(b), kind) for kind, a, b in (x.split(":") for x in found[i].split(",") if x))
+        assert text == brute.redacted(before[i], spans)
         if not brute.base_spans(before[i]) and "token = " not in before[i].lower():
             assert text == before[i]
 
