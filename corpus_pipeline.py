@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from loanloom.llm import bpe, leaks, minhash, pii, quality
-from loanloom.session import stage
+from loanloom.session import delete, shared_path, staged_files
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``.
+
+    A stage's own files and its input go once its output is written; what the last stage
+    reads stays until the caller has used its rows.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = shared_path(spark, name.replace(" ", "-"))
+        with staged_files(spark):
+            function(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
