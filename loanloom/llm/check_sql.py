@@ -44,3 +44,52 @@ n AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+COMMON_LINES = f"""WITH l AS (SELECT doc_id, line, pos, {_LOWER.replace('text', "trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS k
+  FROM (SELECT doc_id, unnest(s) AS line, unnest(range(1, len(s) + 1)) AS pos
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents))),
+r AS (SELECT k, max(doc_id) AS keeper FROM l WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+d AS (SELECT l.*, r.k IS NOT NULL AND l.doc_id <> keeper AS gone FROM l LEFT JOIN r USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM d GROUP BY doc_id"""
+
+PREFIX_TREE = r"""WITH RECURSIVE step AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+  lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS tab),
+o AS (SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+  ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS s
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+h AS (SELECT c, s, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x))),
+  lambda x, b: xor(x >> 8, tab[(xor(x, b) & 255) + 1])), 4294967295) % 4 AS h FROM o, step),
+f AS (SELECT h.c, list_concat(coalesce(p.s, [])[1:h.h], h.s[h.h + 1:]) AS s FROM h LEFT JOIN o p ON p.c = h.c - h.c % 20),
+n AS (SELECT s[1:d] AS p, d, min(c) AS conv_id, count(*) AS n,
+  coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(s) = d), '') AS ends
+  FROM f, unnest(range(0, len(s) + 1)) t(d) GROUP BY 1, 2),
+k AS (SELECT p[1:d - 1] AS p, count(*) AS kids FROM n WHERE d > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(kids, 0) AS kids, CASE WHEN d = 0 THEN 0 ELSE
+  (n - 1) * len(coalesce(regexp_extract_all(p[d].t, '[^\x20\x09-\x0D]+'), [])) END AS saved FROM n LEFT JOIN k USING (p)),
+u AS (SELECT p[1:i] AS p, sum(CAST(kids = 0 AS BIGINT)) AS leaves, sum(saved) AS saved
+  FROM m, unnest(range(0, d + 1)) t(i) GROUP BY 1)
+SELECT m.conv_id, m.d AS depth, q.conv_id AS parent_conv_id, m.n AS n_convs, m.kids AS n_children,
+  CAST(u.leaves AS BIGINT) AS n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN u USING (p) LEFT JOIN n q ON m.d > 0 AND q.p = m.p[1:m.d - 1]"""
+
+COLLOCATIONS = rf"""WITH w AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+  FROM (SELECT lang, unnest(regexp_split_to_array({_LOWER.replace('text', "coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)),
+g AS (SELECT lang, words[i:i + k - 1] AS p, count(*) AS f
+  FROM w, unnest([1, 2, 3]) z(k), unnest(range(1, greatest(len(words) - k + 2, 1))) t(i) GROUP BY 1, 2),
+n AS (SELECT lang, sum(len(words)) AS n FROM w GROUP BY 1),
+c AS (SELECT lang, p, f AS a FROM g WHERE len(p) > 1 AND f >= 10),
+s AS (SELECT c.lang, c.p, c.a, k, x.f AS l, y.f AS r,
+  CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM c, unnest(range(1, len(c.p))) t(k) JOIN g x ON x.lang = c.lang AND x.p = c.p[1:k]
+  JOIN g y ON y.lang = c.lang AND y.p = c.p[k + 1:]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+x AS (SELECT lang, q, max(a) AS most FROM (SELECT lang, p[1:2] AS q, a FROM c WHERE len(p) = 3
+  UNION ALL SELECT lang, p[2:3], a FROM c WHERE len(p) = 3) GROUP BY 1, 2),
+o AS (SELECT b.*, array_to_string(b.p, ' ') AS phrase FROM b LEFT JOIN x ON x.lang = b.lang AND x.q = b.p
+  WHERE most IS NULL OR 100 * most < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM o JOIN n USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000"""

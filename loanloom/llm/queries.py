@@ -12,6 +12,7 @@ from loanloom.llm import (
     bpe,
     check_sql,
     leaks,
+    lines,
     minhash,
     pii,
     quality,
@@ -29,6 +30,7 @@ ORACLES: dict[str, str] = {
     "op1_circulant_minhash": check_sql.NEAR_DUPLICATES,
     "op2_lempel_ziv_dedup": check_sql.EARLIER_WORDS,
     "op4_positional_decontamination": check_sql.LEAKS,
+    "op13_line_dedup": check_sql.COMMON_LINES,
 }
 
 
@@ -95,3 +97,8 @@ def op9_contextual_pii(spark, sf_dir):
 def op10_token_counts(spark, sf_dir):
     # the vocabulary leaves this id free for the end of a document
     return tokencounts.document_counts(read(spark, sf_dir, "documents"), RANKS, separator=50_256)
+
+
+@query
+def op13_line_dedup(spark, sf_dir):
+    return lines.line_report(read(spark, sf_dir, "documents"))
