@@ -21,6 +21,7 @@ from loanloom.llm import (
     suffixes,
     tokencounts,
     toxicity,
+    tries,
 )
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -30,6 +31,7 @@ ORACLES: dict[str, str] = {
     "op1_circulant_minhash": check_sql.NEAR_DUPLICATES,
     "op2_lempel_ziv_dedup": check_sql.EARLIER_WORDS,
     "op4_positional_decontamination": check_sql.LEAKS,
+    "op11_burst_tries": check_sql.PREFIX_TREE,
     "op13_line_dedup": check_sql.COMMON_LINES,
 }
 
@@ -102,3 +104,8 @@ def op10_token_counts(spark, sf_dir):
 @query
 def op13_line_dedup(spark, sf_dir):
     return lines.line_report(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_burst_tries(spark, sf_dir):
+    return tries.conversation_tree(read(spark, sf_dir, "conversations"))
