@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loanloom.llm import (
     bpe,
     check_sql,
+    collocations,
     leaks,
     lines,
     minhash,
@@ -32,6 +33,7 @@ ORACLES: dict[str, str] = {
     "op2_lempel_ziv_dedup": check_sql.EARLIER_WORDS,
     "op4_positional_decontamination": check_sql.LEAKS,
     "op11_burst_tries": check_sql.PREFIX_TREE,
+    "op12_stripes_collocations": check_sql.COLLOCATIONS,
     "op13_line_dedup": check_sql.COMMON_LINES,
 }
 
@@ -109,3 +111,8 @@ def op13_line_dedup(spark, sf_dir):
 @query
 def op11_burst_tries(spark, sf_dir):
     return tries.conversation_tree(read(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_stripes_collocations(spark, sf_dir):
+    return collocations.collocations(read(spark, sf_dir, "documents"))
