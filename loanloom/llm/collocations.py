@@ -29,7 +29,7 @@ from loanloom.llm.text import Rolling, Texts, byte_set, mix, steps, strings, tab
 from loanloom.session import stage
 
 #: Bytes of text counted together in a task.
-STEP = 8 << 20
+STEP = 3 << 20
 #: Bits of the field of frequent words or pairs, as a power of two: 8 MB.
 FIELD = 26
 #: A prefix with more than this share of all words has a counter in slices.
