@@ -36,7 +36,7 @@ def create_binned_features(
     df: DataFrame, bins: dict[str, QuantileBins] | None = None
 ) -> DataFrame:
     """Age, income and credit groups; pass fitted ``bins`` to reuse training edges."""
-    return df.withColumns(binned_columns(bins or fit_amount_bins(df)))
+    return df.withColumns(binned_columns(fit_amount_bins(df) if bins is None else bins))
 
 
 def create_derived_features(df: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def create_derived_features(df: DataFrame) -> DataFrame:
 def engineer_features(
     df: DataFrame, bins: dict[str, QuantileBins] | None = None
 ) -> DataFrame:
-    return df.withColumns({**binned_columns(bins or fit_amount_bins(df)), **derived_columns()})
+    return df.withColumns({**binned_columns(fit_amount_bins(df) if bins is None else bins), **derived_columns()})
 
 
 def ext_source_mean(df: DataFrame, sources=("ext_source_2", "ext_source_3")) -> DataFrame:

@@ -121,7 +121,9 @@ class NeighbourModel:
     def transform(self, df: DataFrame) -> DataFrame:
         """All features as double with the gaps filled, moved behind the other columns."""
         others = [c for c in df.columns if c not in self.features]
-        found = self.neighbours(df)
+        # ids may be missing or repeated: gaps belong to numbered rows of a written table
+        df = stage(df.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+        found = self.neighbours(df, "__row")
         wide = found.groupBy("id").pivot("feature", list(range(len(self.features)))).agg(
             F.first("value")
         ).toDF("__id", *[f"__f{i}" for i in range(len(self.features))])
@@ -129,14 +131,14 @@ class NeighbourModel:
             F.coalesce(present(f), F.col(f"__f{i}"), F.lit(self.facts[i]["mean"])).alias(f)
             for i, f in enumerate(self.features)
         ]
-        joined = df.join(wide, F.col(self.imputer.id_column) == F.col("__id"), "left")
+        joined = df.join(wide, F.col("__row") == F.col("__id"), "left")
         return joined.select(*others, *filled)
 
-    def neighbours(self, df: DataFrame) -> DataFrame:
+    def neighbours(self, df: DataFrame, id_column: str | None = None) -> DataFrame:
         """``id, feature (position), value``: the neighbour mean of every gap that has one."""
         spark = df.sparkSession
         gaps = stage(
-            _vectors(df, self.features, self.imputer.id_column)
+            _vectors(df, self.features, id_column or self.imputer.id_column)
             .where(F.instr("mask", "0") > 0).where(F.instr("mask", "1") > 0), "gaps",
         )
         found = spark.createDataFrame([], gaps.selectExpr(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -194,39 +196,75 @@ def train_and_evaluate(
     return f2_score(with_probability(second.transform(validation))), chosen, second
 
 
+def shuffled_places(numbers: np.ndarray, total: int, seed: int, repeat: int) -> np.ndarray:
+    """New places of row ``numbers`` below ``total``: a keyed one-to-one map that needs no other row.
+
+    Six Feistel rounds over the halves of a number permute the next power of four; numbers that
+    leave the range go through again until they are back in it.
+    """
+    half = max(1, (max(1, total - 1).bit_length() + 1) // 2)
+    low = np.uint64((1 << half) - 1)
+    keys = np.random.Generator(np.random.Philox(key=[seed % 2**64, repeat])).integers(0, 2**63, 6).astype(np.uint64)
+
+    def once(x: np.ndarray) -> np.ndarray:
+        left, right = x >> np.uint64(half), x & low
+        for key in keys:
+            mixed = (right + key) * np.uint64(0x9E3779B97F4A7C15)
+            mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            left, right = right, left ^ ((mixed >> np.uint64(32)) & low)
+        return (left << np.uint64(half)) | right
+
+    out = once(numbers.astype(np.uint64))
+    away = np.flatnonzero(out >= total)
+    while len(away):
+        out[away] = once(out[away])
+        away = away[out[away] >= total]
+    return out.astype(np.int64)
+
+
 def permutation_importances(
     model: Transformer, df: DataFrame, features: Sequence[str], id_column: str,
     repeats: int = 30, seed: int = 42,
 ) -> DataFrame:
     """``feature, importance, importance_std``: mean accuracy drop when a feature is shuffled.
 
-    Rows are numbered once in hash order; a shuffle is a shift of the values along that
-    order, so each repeat is one equi-join and one scoring pass for all features together.
+    Rows are numbered once in hash order and written.  In every repeat a row's features go to
+    the row that :func:`shuffled_places` names, a permutation of its own for each repeat; all
+    repeats travel in one exchange, which also brings the row's own features and label.  A
+    second exchange sums the hits of all features and repeats.
     """
     part = F.conv(F.substring("key", 1, 3), 16, 10).cast("int")
     keyed = df.select("*", hash_key(id_column, seed, "shuffle:").alias("key")).select(
         "*", part.alias("part"), F.lit("rows").alias("all"), F.lit(1).cast("bigint").alias("n"))
     rows = stage(prefix_sum(keyed, ["all"], "key", ["n"]).drop("key", "part", "all", "n"), "rows")
+    base, hits = accuracy(model.transform(rows)), shuffled_hits(model, rows, features, repeats, seed)
+    return hits.groupBy("feature").agg(
+        F.avg(F.lit(base) - F.col("score")).alias("importance"),
+        F.stddev_pop(F.lit(base) - F.col("score")).alias("importance_std"))
+
+
+def shuffled_hits(model: Transformer, rows: DataFrame, features: Sequence[str], repeats: int, seed: int) -> DataFrame:
+    """``feature, repeat, score``: accuracy over numbered ``rows`` with one feature shuffled."""
     total = rows.count()
-    base = accuracy(model.transform(rows))
-    rows_of = []
+
+    @F.pandas_udf("array<bigint>")
+    def places(numbers: pd.Series) -> pd.Series:
+        found = [shuffled_places(numbers.to_numpy(), total, seed, r) for r in range(repeats)]
+        return pd.Series(list(np.stack(found, axis=1)) if len(numbers) else [])
+
+    values = F.struct(*[F.col(f) for f in features])
+    sent = rows.select(values.alias("v"), F.posexplode(places("before_n")).alias("repeat", "place"))
+    own = rows.select(values.alias("v"), F.lit(-1).alias("repeat"), F.col("before_n").alias("place"), LABEL)
+    met = own.unionByName(sent, allowMissingColumns=True).groupBy("place").agg(
+        F.max(LABEL).alias(LABEL), F.max_by("v", F.when(F.col("repeat") < 0, 1)).alias("own"),
+        F.collect_list(F.when(F.col("repeat") >= 0, F.struct("repeat", "v"))).alias("others"))
+    each = met.select(LABEL, "own", F.explode("others").alias("other")).select(
+        LABEL, "own", "other.repeat", F.col("other.v").alias("other"),
+        F.explode(F.array(*[F.lit(f) for f in features])).alias("__feature"))
+    both = each.select(LABEL, "repeat", "__feature", *[
+        F.when(F.col("__feature") == f, F.col("other")[f]).otherwise(F.col("own")[f]).alias(f) for f in features])
     hit = (F.col("prediction") == F.col(LABEL)).cast("double")
-    for r in range(repeats):
-        shift = 1 + (seed * 7919 + (r + 1) * 104_729) % max(1, total - 1)
-        moved = rows.select(
-            ((F.col("before_n") + shift) % total).alias("before_n"),
-            F.struct(*[F.col(f).alias(f) for f in features]).alias("__other"))
-        # one row per feature, with that feature taken from the other row
-        names = F.explode(F.array(*[F.lit(f) for f in features])).alias("__feature")
-        both = rows.join(moved, "before_n").select("*", names).select(LABEL, "__feature", *[
-            F.when(F.col("__feature") == f, F.col("__other")[f]).otherwise(F.col(f)).alias(f)
-            for f in features])
-        # one short row per feature and repeat
-        for one in model.transform(both).groupBy("__feature").agg(F.avg(hit).alias("score")).collect():
-            rows_of.append((one["__feature"], r, base - one["score"]))
-    drops = df.sparkSession.createDataFrame(rows_of, "feature string, repeat int, drop double")
-    return drops.groupBy("feature").agg(
-        F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("importance_std"))
+    return model.transform(both).groupBy(F.col("__feature").alias("feature"), "repeat").agg(F.avg(hit).alias("score"))
 
 
 def extract_feature_importances(

@@ -44,7 +44,7 @@ def detect_anomalies_iqr(
     df: DataFrame, features: Sequence[str], fences: Fences | None = None
 ) -> DataFrame:
     """Distinct anomalous rows (over all columns), projected to the features."""
-    found = fences or iqr_fences(df, features)
+    found = iqr_fences(df, features) if fences is None else fences
     return df.where(outside(found)).dropDuplicates().select(*features)
 
 
@@ -53,7 +53,7 @@ def flag_anomalies(
     output: str = "is_anomaly",
 ) -> DataFrame:
     """Add a boolean flag; pass training ``fences`` to flag another table with them."""
-    return df.withColumn(output, outside(fences or iqr_fences(df, features)))
+    return df.withColumn(output, outside(iqr_fences(df, features) if fences is None else fences))
 
 
 def ext_zscore_fences(df: DataFrame, features: Sequence[str], limit: float = 3.0) -> Fences:

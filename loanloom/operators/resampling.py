@@ -3,78 +3,114 @@
 from __future__ import annotations
 
 import hashlib
-import struct
 import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CELLS_AT_ONCE = 2_000_000
+from loanloom.operators.rank import prefix_sum
+from loanloom.session import stage
+
+#: Neighbouring values that one draw deals with, and children of one node of the tree above them.
+LEAF = 4096
+FAN = 256
 
 
 def _code(text: str) -> int:
     return zlib.crc32(text.encode())
 
 
-def _weights(seed: int, feature: str, values: np.ndarray, counts: np.ndarray, label: int,
-             replicates: int) -> np.ndarray:
-    """How often each value's rows are drawn in each replicate: Poisson numbers from a generator
-    that the seed, feature, class and value alone decide."""
-    out = np.zeros((len(values), replicates))
-    for i in np.flatnonzero(counts).tolist():
-        name = f"{seed}:{feature}:{label}:".encode() + struct.pack("<d", values[i])
-        key = int.from_bytes(hashlib.blake2b(name, digest_size=16).digest(), "little")
-        out[i] = np.random.Generator(np.random.Philox(key=key)).poisson(counts[i], replicates)
+def _generator(seed: int, feature: str, label: int, level: int, node: int) -> np.random.Generator:
+    """A generator that the seed, feature, class and node of the tree alone decide."""
+    name = f"{seed}:{label}:{level}:{node}:{feature}".encode()
+    return np.random.Generator(np.random.Philox(key=int.from_bytes(hashlib.blake2b(name, digest_size=16).digest(), "little")))
+
+
+def _dealt(rng: np.random.Generator, draws: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``draws[r]`` rows dealt to the places in proportion to ``counts``: one row a replicate."""
+    out = np.zeros((len(draws), len(counts)), dtype=np.int64)
+    some = np.flatnonzero(counts)
+    if len(some):
+        out[:, some] = rng.multinomial(draws, counts[some] / counts[some].sum())
     return out
 
 
-def bootstrap_replicates(hist: DataFrame, replicates: int = 500, seed: int = 42) -> DataFrame:
-    """``feature, replicate, delta`` of Cliff's delta under resampling in each class.
-
-    ``hist`` holds counted values per value range (``feature, part, value, n0, n1``).  Rows
-    are drawn by the Poisson bootstrap: each one enters a replicate a Poisson(1) number of
-    times, so draws of different rows are independent, and those of equal ones add up to a
-    Poisson number of their count.  A draw depends on the value, not on where its row or
-    range lies, so any cut into ranges gives the same replicates, and the cost is linear.  A
-    range's pairs need only its own values and the totals of earlier ranges.
+_NODE = "feature string, node bigint, m0 array<bigint>, m1 array<bigint>, before array<bigint>"
+
+
+def _splitter(seed: int, level: int):
+    """Deals what one node got to its children, in their order."""
+
+    def split(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        left, above = left.sort_values("node"), right.iloc[0]
+        feature, node = above["feature"], int(above["node"])
+        m = [_dealt(_generator(seed, feature, c, level, node), np.asarray(above[f"m{c}"]), left[f"n{c}"].to_numpy())
+             for c in (0, 1)]
+        before = np.asarray(above["before"])[:, None] + np.cumsum(m[1], axis=1) - m[1]
+        return pd.DataFrame({"feature": feature, "node": left["node"].to_numpy(), "m0": list(m[0].T), "m1": list(m[1].T),
+                             "before": list(before.T)})
+
+    return split
+
+
+def _shared_out(blocks: DataFrame, replicates: int, seed: int) -> DataFrame:
+    """How many rows of each class every block gets in each replicate (_NODE), and how many of
+    class 1 the blocks ``before`` it got.
+
+    All rows of a class stand at the root; every node deals its rows to at most FAN children.
+    The tree is over positions in the order of values, so it has one level for every factor of
+    FAN in the number of blocks, and any cut of the table into ranges gives the same tree.
     """
+    last = blocks.agg(F.max("node")).first()[0] or 0
+    levels = 0
+    while last // FAN**levels:
+        levels += 1
+    times = lambda c: F.array_repeat(c.cast("bigint"), replicates)
+    drawn = blocks.groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).select(
+        "feature", F.lit(0).cast("bigint").alias("node"), times(F.col("n0")).alias("m0"), times(F.col("n1")).alias("m1"),
+        times(F.lit(0)).alias("before"))
+    for level in range(levels - 1, -1, -1):
+        children = blocks.groupBy("feature", F.expr(f"node div {FAN**level}L").alias("node")).agg(
+            F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).withColumn("parent", F.expr(f"node div {FAN}L"))
+
+        drawn = children.groupBy("feature", "parent").cogroup(drawn.groupBy("feature", "node")).applyInPandas(_splitter(seed, level + 1), _NODE)
+    return drawn
 
-    def draw(pdf: pd.DataFrame) -> pd.DataFrame:
-        feature, part = pdf["feature"].iloc[0], int(pdf["part"].iloc[0])
-        pdf = pdf.sort_values("value")
-        values = pdf["value"].to_numpy(dtype="float64")
-        counts = [pdf[c].to_numpy(dtype="float64") for c in ("n0", "n1")]
-        totals, inside = np.zeros((2, replicates)), np.zeros(replicates)
-        step = max(1, CELLS_AT_ONCE // replicates)
-        for at in range(0, len(values), step):
-            own = slice(at, at + step)
-            w = [_weights(seed, feature, values[own], counts[c][own], c, replicates) for c in (0, 1)]
-            below = totals[1] + np.cumsum(w[1], axis=0) - w[1]
-            inside += (w[0] * (below + w[1] / 2)).sum(axis=0)
-            totals += [w[0].sum(axis=0), w[1].sum(axis=0)]
-        return pd.DataFrame({
-            "feature": feature, "part": part, "replicate": np.arange(replicates, dtype="int32"),
-            "m0": totals[0].astype("int64"), "m1": totals[1].astype("int64"), "u": inside,
-        })
 
-    drawn = hist.groupBy("feature", "part").applyInPandas(
-        draw, "feature string, part int, replicate int, m0 bigint, m1 bigint, u double"
-    )
-    earlier = (
-        Window.partitionBy("feature", "replicate").orderBy("part")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    won = F.col("u") + F.col("m0").cast("double") * F.coalesce(F.sum("m1").over(earlier), F.lit(0))
-    sums = drawn.withColumn("won", won).groupBy("feature", "replicate").agg(
-        F.sum("won").alias("won"), F.sum("m0").cast("double").alias("m0"),
-        F.sum("m1").cast("double").alias("m1"),
-    )
-    return sums.select(
-        "feature", "replicate",
-        (F.try_divide(2 * F.col("won"), F.col("m0") * F.col("m1")) - 1).alias("delta"),
-    )
+def bootstrap_replicates(hist: DataFrame, replicates: int = 500, seed: int = 42) -> DataFrame:
+    """``feature, replicate, m0, m1, delta`` of Cliff's delta under resampling in each class.
+
+    ``hist`` holds counted values per value range (``feature, part, value, n0, n1``).  Every
+    replicate draws as many rows as a class has, with replacement: numbers of draws are
+    multinomial, dealt down a tree over the ordered values, so ``m0`` and ``m1`` are the class
+    sizes in all of them.  A draw depends on a node's place and its counts, not on where ranges
+    are cut, so any partitioning gives the same replicates.  The cost is linear in the values.
+    A block's pairs need its own values and the draws before it, which come down the tree.
+    """
+    own = hist.select("feature", "part", "value", "n0", "n1", F.lit(1).cast("bigint").alias("n"))
+    values = stage(prefix_sum(own, ["feature"], "value", ["n"]).select(
+        "feature", "value", "n0", "n1", F.expr(f"before_n div {LEAF}L").alias("node")), "bootstrap")
+    blocks = values.groupBy("feature", "node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+
+    def draw(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        left, above = left.sort_values("value"), right.iloc[0]
+        feature, node = above["feature"], int(above["node"])
+        w = [_dealt(_generator(seed, feature, c, 0, node), np.asarray(above[f"m{c}"]), left[f"n{c}"].to_numpy())
+             for c in (0, 1)]
+        below = np.asarray(above["before"])[:, None] + np.cumsum(w[1], axis=1) - w[1]
+        return pd.DataFrame({
+            "feature": feature, "replicate": np.arange(replicates, dtype="int32"), "m0": w[0].sum(axis=1),
+            "m1": w[1].sum(axis=1), "won": (w[0] * (below + w[1] / 2)).sum(axis=1)})
+
+    drawn = values.groupBy("feature", "node").cogroup(
+        _shared_out(blocks, replicates, seed).groupBy("feature", "node")).applyInPandas(
+        draw, "feature string, replicate int, m0 bigint, m1 bigint, won double")
+    sums = drawn.groupBy("feature", "replicate").agg(
+        F.sum("won").alias("won"), F.sum("m0").alias("m0"), F.sum("m1").alias("m1"))
+    pairs = F.col("m0").cast("double") * F.col("m1")
+    return sums.select("feature", "replicate", "m0", "m1", (F.try_divide(2 * F.col("won"), pairs) - 1).alias("delta"))
 
 
 def bootstrap_delta(hist: DataFrame, replicates: int = 500, seed: int = 42) -> DataFrame:

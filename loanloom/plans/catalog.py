@@ -1,6 +1,7 @@
 """All registered queries; importing the modules fills the registry."""
 
 from loanloom.plans import (  # noqa: F401
+    decision_queries,
     encode_queries,
     model_queries,
     quality_queries,

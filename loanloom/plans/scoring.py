@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -58,9 +58,10 @@ CARRIED = ["sk_id_curr", "amt_income_total", "amt_credit", "loan_term_years",
 
 
 def preprocess(
-    valid: DataFrame, bins: dict[str, QuantileBins] | None = None, anomaly: Column | None = None
+    valid: DataFrame, bins: dict[str, QuantileBins] | None = None, anomaly: Column | None = None,
+    carried: Sequence[str] = tuple(CARRIED),
 ) -> DataFrame:
-    """Model inputs of valid records plus the carried columns and ``anomalies_details``.
+    """Model inputs of valid records plus the ``carried`` columns and ``anomalies_details``.
 
     ``bins`` are the edges fitted on training data.  ``anomaly`` replaces the fixed bounds
     as the meaning of the ``is_anomaly`` feature, for models trained with fences.
@@ -77,9 +78,8 @@ def preprocess(
         **derived_columns(), **(binned_columns(bins) if bins else {}),
         "is_anomaly": flagged.cast("int"),
     })
-    carried = [F.col(c).alias(f"__{c}") for c in CARRIED]
     features = engineered.select(
-        *carried, "anomalies_details",
+        *[F.col(c).alias(f"__{c}") for c in carried], "anomalies_details",
         *[c for c in engineered.columns
           if c not in ONE_HOT and c not in CODES and c not in ("name_education_type", "anomalies_details")],
         *[c for name, words in ONE_HOT.items() for c in vocabulary_one_hot(name, words)],
@@ -87,7 +87,7 @@ def preprocess(
         ordinal_code("name_education_type", EDUCATION_TYPES),
         *weekday_one_hot("application_time"),
     )
-    keep = [f"__{c}" for c in CARRIED] + ["anomalies_details"]
+    keep = [f"__{c}" for c in carried] + ["anomalies_details"]
     out = align_columns(features, [*keep, *SELECTED_FEATURES])
     floats = {f.name for f in out.schema.fields if f.dataType.simpleString() == "double"}
     return out.withColumns({

@@ -9,6 +9,9 @@ from loanloom.functions import scalars
 from loanloom.operators import models
 from loanloom.operators.schema import FeatureNameSanitizer
 from loanloom.operators.validate import (
+    FAMILY_STATUSES,
+    HOUSING_TYPES,
+    INCOME_TYPES,
     anomaly_records,
     refusal_counts,
     split_valid,
@@ -132,35 +135,47 @@ def decision_summary(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), F.round(F.avg("monthly_payment"), 2).alias("mean_payment"))
 
 
-@query("decision_records_json", _DECISION_SQL + """
-SELECT sk_id_curr, probability_of_default, monthly_payment, risk_level, loan_approval FROM decision""")
+@query("decision_records_json", _DECISION_SQL + " SELECT * FROM decision")
 def decision_records_json(spark, sf_dir):
-    """Decisions written as JSON records and read back."""
+    """Decisions with their anomalies written as JSON records and read back."""
     path = shared_path(spark, "decisions")
     decisions, _ = score_applications(requests(spark, sf_dir), probability())
     tables.write_decisions(decisions, path)
-    return spark.read.schema(decisions.schema).json(path).select(
-        "sk_id_curr", "probability_of_default", "monthly_payment", "risk_level", "loan_approval")
-
-
-@query("scoring_features", """
-SELECT sk_id_curr, CASE WHEN name_income_type = 'State servant' THEN 1 ELSE 0 END
-    AS name_income_type_state_servant,
-  CASE WHEN housing = 0 THEN 1 ELSE 0 END AS name_housing_type_house_apartment,
-  CASE WHEN family = 0 THEN 1 ELSE 0 END AS name_family_status_single_not_married,
-  CAST(education AS DOUBLE) AS name_education_type,
-  CASE WHEN code_gender = 'M' THEN 1 ELSE 0 END AS code_gender,
-  CASE WHEN dayname(application_time) = 'Monday' THEN 1 ELSE 0 END AS weekday_appr_process_start_monday,
-  round(CASE WHEN amt_income_total = 0 THEN 1e6::DOUBLE ELSE amt_credit / amt_income_total END, 6)
-    AS debt_to_income_ratio,
-  coalesce(-age * 365, days_birth) AS days_birth FROM valid""")
+    return _flat(spark.read.schema(decisions.schema).json(path))
+
+
+def _one_hot_sql(name: str, column: str, words: list[str], by_place: bool) -> str:
+    return ", ".join(
+        f"CASE WHEN {column} = {i if by_place else repr(w)} THEN 1 ELSE 0 END AS {scalars.clean_name(f'{name}_{w}')}"
+        for i, w in enumerate(words))
+
+
+FEATURE_SQL = f""", features AS (SELECT sk_id_curr, amt_income_total, amt_credit, amt_goods_price, payment AS amt_annuity,
+  {_one_hot_sql('name_income_type', 'name_income_type', INCOME_TYPES, False)},
+  {_one_hot_sql('name_housing_type', 'housing', HOUSING_TYPES, True)},
+  {_one_hot_sql('name_family_status', 'family', FAMILY_STATUSES, True)},
+  CAST(education AS DOUBLE) AS name_education_type, CASE WHEN code_gender = 'M' THEN 1 ELSE 0 END AS code_gender,
+  CASE WHEN flag_own_car = 'Y' THEN 1 ELSE 0 END AS flag_own_car,
+  CASE WHEN flag_own_realty = 'Y' THEN 1 ELSE 0 END AS flag_own_realty,
+  CASE WHEN sk_id_curr IN (SELECT sk_id_curr FROM anomaly) THEN 1 ELSE 0 END AS is_anomaly,
+  coalesce(-age * 365, days_birth) AS days_birth,
+  CASE WHEN amt_income_total = 0 THEN 1e6::DOUBLE ELSE amt_credit / amt_income_total END AS debt_to_income_ratio,
+  CASE WHEN amt_goods_price = 0 THEN 1e6::DOUBLE ELSE amt_credit / amt_goods_price END AS credit_to_goods_ratio,
+  CASE WHEN amt_income_total = 0 THEN 1e6::DOUBLE ELSE payment / amt_income_total END AS annuity_to_income_ratio,
+  {", ".join(f"CASE WHEN dayname(application_time) = '{d}' THEN 1 ELSE 0 END AS weekday_appr_process_start_{d.lower()}"
+             for d in scalars.WEEKDAYS)} FROM valid)"""
+
+
+@query("scoring_features", _ANOMALY_SQL + FEATURE_SQL + """
+SELECT * REPLACE (round(amt_annuity, 4) AS amt_annuity, round(debt_to_income_ratio, 6) AS debt_to_income_ratio,
+  round(credit_to_goods_ratio, 6) AS credit_to_goods_ratio, round(annuity_to_income_ratio, 6) AS annuity_to_income_ratio)
+FROM features""")
 def scoring_features(spark, sf_dir):
+    """All inputs of the model."""
     out = preprocess(split_valid(requests(spark, sf_dir))[0])
-    return rounded(out, "debt_to_income_ratio").select(
-        F.col("__sk_id_curr").alias("sk_id_curr"), "name_income_type_state_servant",
-        "name_housing_type_house_apartment", "name_family_status_single_not_married",
-        "name_education_type", "code_gender", "weekday_appr_process_start_monday",
-        "debt_to_income_ratio", "days_birth")
+    out = rounded(rounded(out, "amt_annuity", digits=4), "debt_to_income_ratio", "credit_to_goods_ratio",
+                  "annuity_to_income_ratio")
+    return out.select(F.col("__sk_id_curr").alias("sk_id_curr"), *SELECTED_FEATURES)
 
 
 def _record_stream(spark, sf_dir):

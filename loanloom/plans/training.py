@@ -5,15 +5,24 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from loanloom.operators.encode import CategoricalEncoder, CategoricalEncoderModel
-from loanloom.operators.features import engineer_features, fit_amount_bins
-from loanloom.operators.impute import impute_categorical_features, impute_numerical_features
-from loanloom.operators.outliers import flag_anomalies, iqr_fences
-from loanloom.operators.quality import initial_feature_reduction
-from loanloom.operators.quantiles import QuantileBins
+from loanloom.operators.encode import CategoricalEncoder
+from loanloom.operators.features import fit_amount_bins
+from loanloom.operators.impute import NeighbourImputer, category_modes
+from loanloom.operators.outliers import iqr_fences
+from loanloom.operators.quality import feature_reduction_report
+from loanloom.operators.schema import categorical_columns, numeric_columns
+from loanloom.operators.stages import (
+    AmountFeatures,
+    DroppedColumns,
+    EncodedCategories,
+    FenceFlag,
+    KeptColumns,
+    ModeFill,
+    NeighbourFill,
+)
 from loanloom.session import stage
 
 # Orders of the ordinal features.
@@ -46,38 +55,50 @@ class TrainingFlow:
     reduction: Mapping[str, float] = field(default_factory=dict)
     fences_from_each: bool = False
 
-    def run(self, train: DataFrame, test: DataFrame) -> PreparedTables:
-        train, test = initial_feature_reduction(
-            train, test, self.target, essential=self.essential, **self.reduction)
-        train, test = impute_numerical_features(
-            train, test, self.target, self.id_column, exclude=(self.id_column,))
-        train, test = impute_categorical_features(train, test, self.target)
+    def fit(self, train: DataFrame, test: DataFrame) -> PipelineModel:
+        """All steps as stages that can be stored; ``test`` only decides which columns are kept."""
+        return self._fitted(train, test)[0]
+
+    def _fitted(self, train: DataFrame, test: DataFrame) -> tuple[PipelineModel, DataFrame]:
+        """The stages and the training table before it is encoded."""
+        report = feature_reduction_report(train, test, self.target, essential=self.essential, **self.reduction)
+        done: list[Transformer] = [KeptColumns([r["feature"] for r in report if r["kept"]], self.target)]
+        df = done[0].transform(train)
+        numbers = [c for c in numeric_columns(df) if c not in (self.target, self.id_column)]
+        if numbers and not df.isEmpty():
+            done.append(NeighbourFill(NeighbourImputer(numbers, self.id_column).fit(df)))
+            df = done[-1].transform(df)
+        words = [c for c in categorical_columns(df) if c != self.target]
+        done.append(ModeFill(category_modes(df, words)))
         # nearest neighbours are expensive to repeat
-        train, test = stage(train, "imputed"), stage(test, "imputed")
-        fences, bins = iqr_fences(train, self.fenced), fit_amount_bins(train)
-        own = self.fences_from_each
-        prepared = []
-        for df in (train, test):
-            refit = own and df is test
-            flagged = flag_anomalies(df, self.fenced, iqr_fences(df, self.fenced) if refit else fences)
-            flagged = flagged.withColumn("is_anomaly", F.col("is_anomaly").cast("int"))
-            prepared.append(engineer_features(
-                flagged, fit_amount_bins(df) if refit else bins).drop(*self.dropped))
-        have = set(prepared[0].columns)
+        df = stage(done[-1].transform(df), "imputed")
+        done += [FenceFlag(self.fenced, iqr_fences(df, self.fenced)), AmountFeatures(fit_amount_bins(df)),
+                 DroppedColumns(self.dropped)]
+        for step in done[-3:]:
+            df = step.transform(df)
+        have = set(df.columns)
         orders = {f: o for f, o in self.ordinal_orders.items() if f in have}
         encoder = CategoricalEncoder(
             [f for f in self.binary if f in have], [f for f in self.categorical if f in have],
             [f for f in self.target_encoded if f in have], list(orders), orders, self.target,
-        ).fit(prepared[0])
+        ).fit(df)
+        return PipelineModel([*done, EncodedCategories(encoder)]), df
+
+    def run(self, train: DataFrame, test: DataFrame) -> PreparedTables:
+        model, ready = self._fitted(train, test)
+        *first, flag, bins, dropped, encoded = model.stages
+        other = PipelineModel(first).transform(test)
+        if self.fences_from_each:
+            other = stage(other, "imputed")
+            flag = FenceFlag(self.fenced, iqr_fences(other, self.fenced))
+            bins = AmountFeatures(fit_amount_bins(other))
+        other = PipelineModel([flag, bins, dropped, encoded]).transform(other)
         return PreparedTables(
-            stage(encoder.transform(prepared[0], training=True), "encoded"),
-            stage(encoder.transform(prepared[1]), "encoded"), encoder, bins, fences)
+            stage(encoded.model.transform(ready, training=True), "encoded"), stage(other, "encoded"), model)
 
 
 @dataclass
 class PreparedTables:
     train: DataFrame
     test: DataFrame
-    encoder: CategoricalEncoderModel
-    bins: dict[str, QuantileBins]
-    fences: dict[str, tuple[float, float]]
+    model: PipelineModel

@@ -1,10 +1,11 @@
+import numpy as np
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from loanloom.operators import metrics, models, tuning
-from loanloom.session import shared_path
+from loanloom.session import shared_path, stage
 from loanloom.sources import models as store
 
 FEATURES = ["good", "noise", "more"]
@@ -59,6 +60,31 @@ def test_permutation_finds_the_signal(table):
         models.assembler(FEATURES, "features"), DecisionTreeClassifier(labelCol="label")).fit(ready)
     got = {r.feature: r.importance for r in models.permutation_importances(fitted, ready, FEATURES, "id", 2).collect()}
     assert got["good"] > 0.2 and got["good"] > got["noise"] and len(got) == 3
+    rows = stage(ready.withColumn("before_n", F.col("id")), "rows")
+    hits = models.shuffled_hits(fitted, rows, FEATURES, 30, 1)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2 and "Join" not in plan
+    assert hits.count() == 90
+    # against the same places applied by hand
+    table_of = {r["before_n"]: r for r in rows.collect()}
+    for repeat in (0, 29):
+        place = models.shuffled_places(np.arange(600), 600, 1, repeat)
+        moved = [(*(table_of[j][f] for f in FEATURES), table_of[i]["label"], table_of[j]["good"]) for j, i in enumerate(place)]
+        other = [(g, table_of[i]["noise"], table_of[i]["more"], table_of[i]["label"]) for (*_, g), i in zip(moved, place)]
+        df = table.sparkSession.createDataFrame([tuple(map(float, r)) for r in other], "good double, noise double, more double, label double")
+        want = models.accuracy(fitted.transform(df))
+        assert hits.where(f"repeat = {repeat} and feature = 'good'").first()["score"] == pytest.approx(want)
+
+
+def test_shuffles_are_permutations():
+    for total in (1, 2, 3, 7, 64, 65, 1000):
+        every = [models.shuffled_places(np.arange(total), total, 42, r) for r in range(6)]
+        assert all(sorted(p) == list(range(total)) for p in every)
+        if total > 60:
+            assert len({tuple(p) for p in every}) == 6
+            shifts = [(p - np.arange(total)) % total for p in every]
+            assert all(len(set(s)) > total / 3 for s in shifts)
+            assert all((p == np.arange(total)).sum() < 8 for p in every)
 
 
 def test_top_features():

@@ -142,6 +142,31 @@ def test_bootstrap_does_not_follow_the_ranges(spark):
     assert results[0] == results[1] == results[2]
 
 
+def test_bootstrap_draws_whole_classes(spark, monkeypatch):
+    """Class sizes in every replicate, also down a tree of many levels, and the draws' mean and variance."""
+    import numpy as np
+
+    monkeypatch.setattr(resampling, "LEAF", 3)
+    monkeypatch.setattr(resampling, "FAN", 2)
+    df = spark.range(500).select(
+        F.when(F.col("id") % 11 > 0, F.col("id") * 37 % 101 / 10).alias("x"), F.lit(1.5).alias("same"),
+        (F.col("id") % 3 == 0).cast("int").alias("y"))
+    results = []
+    for ranges in (1, 9):
+        hist = class_histogram(df, ["x", "same"], "y", ranges=ranges)
+        results.append(sorted(map(tuple, resampling.bootstrap_replicates(hist, 200, 5).collect())))
+    assert results[0] == results[1] and len(results[0]) == 400
+    sizes = {tuple(r) for r in df.where("x is not null").groupBy("y").count().collect()}
+    assert {(0, r[2]) for r in results[0] if r[0] == "x"} | {(1, r[3]) for r in results[0] if r[0] == "x"} == sizes
+    assert all(r[2:] == (333, 167, 0.0) for r in results[0] if r[0] == "same")
+    values = df.where("x is not null").toPandas()
+    a, b = (np.sort(values[values.y == c].x.to_numpy()) for c in (0, 1))
+    rng = np.random.default_rng(1)
+    direct = [np.sign(rng.choice(a, len(a))[:, None] - rng.choice(b, len(b))[None]).mean() for _ in range(400)]
+    got = [r[4] for r in results[0] if r[0] == "x"]
+    assert np.mean(got) == pytest.approx(np.mean(direct), abs=0.02) and np.std(got) == pytest.approx(np.std(direct), rel=0.25)
+
+
 def test_exact_tail_for_small_and_large_groups():
     from collections import Counter
     from itertools import combinations
