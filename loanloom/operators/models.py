@@ -18,6 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanloom.operators.fits import side_by_side
 from loanloom.operators.metrics import (
     METRICS,
     evaluate_scores,
@@ -289,22 +290,25 @@ def extract_feature_importances(
 def learning_curve(
     estimator: Callable[[], Estimator] | Estimator, df: DataFrame, id_column: str,
     sizes: Sequence[float] = (0.1, 0.325, 0.55, 0.775, 1.0), folds: int = 5, seed: int = 42,
-    metric: Callable[[DataFrame], float] = accuracy,
+    metric: Callable[[DataFrame], float] = accuracy, at_once: int = 4,
 ) -> DataFrame:
     """``train_share, train_mean, train_std, test_mean, test_std`` over the folds.
 
     A row's fold and its place in the growing training sets come from its hash, so smaller
-    training sets are contained in larger ones.
+    training sets are contained in larger ones.  Fits run side by side, ``at_once`` at a time.
     """
     unit = hash_unit(id_column, seed, "curve:")
     ready = stage(hash_folds(df, id_column, folds, seed).withColumn("__u", unit), "folds")
-    rows = []
-    for share in sizes:
-        for k in range(folds):
-            train = ready.where((F.col("fold") != k) & (F.col("__u") < share))
-            fitted = (estimator if isinstance(estimator, Estimator) else estimator()).fit(train)
-            test = ready.where(F.col("fold") == k)
-            rows.append((float(share), k, metric(fitted.transform(train)), metric(fitted.transform(test))))
+
+    def fit(job: tuple[float, int]) -> tuple[float, int, float, float]:
+        share, k = job
+        train = ready.where((F.col("fold") != k) & (F.col("__u") < share))
+        fitted = (estimator.copy() if isinstance(estimator, Estimator) else estimator()).fit(train)
+        test = ready.where(F.col("fold") == k)
+        return share, k, metric(fitted.transform(train)), metric(fitted.transform(test))
+
+    jobs = [(float(share), k) for share in sizes for k in range(folds)]
+    rows = side_by_side(df.sparkSession, fit, jobs, at_once)
     scores = df.sparkSession.createDataFrame(
         rows, "train_share double, fold int, train double, test double")
     return scores.groupBy("train_share").agg(

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.functions.scalars import present
+from loanloom.operators.duplicates import duplicated_total, repeated_rows
+from loanloom.operators.gram import pair_correlations
 from loanloom.operators.quantiles import exact_quantiles
 from loanloom.operators.schema import numeric_columns
 
@@ -31,13 +33,6 @@ def _aggregate(df: DataFrame, exprs: dict[str, Column]) -> dict:
     return out
 
 
-def guarded_correlation(x: Column, y: Column) -> Column:
-    """Pearson correlation over rows with both sides; null when undefined."""
-    xm, ym = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    spread = F.stddev_samp(xm) * F.stddev_samp(ym)
-    return F.covar_samp(xm, ym) / F.nullif(spread, F.lit(0.0))
-
-
 def missing_ratios(df: DataFrame) -> dict[str, float]:
     kinds = dict(df.dtypes)
     exprs = {c: F.count_if(is_missing(c, kinds[c])) for c in df.columns}
@@ -61,11 +56,8 @@ def filter_by_variance(df: DataFrame, columns: Sequence[str], threshold: float)
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str) -> dict[str, float]:
     """Absolute correlation with the target; 0 when undefined."""
-    y = present(target)
-    got = _aggregate(
-        df, {c: F.coalesce(F.abs(guarded_correlation(present(c), y)), F.lit(0.0)) for c in columns}
-    )
-    return dict(got)
+    got = {r["x"]: r["r"] for r in pair_correlations(df, columns, [target]).collect()}
+    return {c: abs(got[c]) if got.get(c) is not None else 0.0 for c in columns}
 
 
 def filter_by_correlation(
@@ -162,11 +154,7 @@ def analyze_missing_values(train: DataFrame, test: DataFrame, top_n: int = 5) ->
 
 def count_duplicated_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Number of rows that belong to a group of equal rows (all members count)."""
-    groups = df.groupBy(*(columns or df.columns)).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("bigint")
-        .alias("n_duplicated")
-    )
+    return duplicated_total(repeated_rows(df, columns))
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

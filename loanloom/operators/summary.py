@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loanloom.functions.scalars import present
 from loanloom.functions.tails import t_quantile
+from loanloom.operators.gram import pair_correlations
 from loanloom.operators.quantiles import exact_quantiles
 
 
@@ -56,37 +57,10 @@ def category_by_target(df: DataFrame, category: str, target: str) -> DataFrame:
     )
 
 
-#: Pairs of columns that one aggregation holds.
-PAIRS_AT_ONCE = 400
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long ``x, y, r`` over all pairs, pairwise complete, undefined as null.
-
-    A row stays a row: pairs are guarded aggregates, in blocks that bound the aggregation
-    buffer and the generated code; each block is one scan of the columns in it.
-    """
+    """Long ``x, y, r`` over all pairs, pairwise complete, undefined as null, from one scan."""
     names = list(columns)
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    clean = df.select(*[present(c).alias(f"v{i}") for i, c in enumerate(names)])
-    label = F.array(*[F.lit(n) for n in names])
-    out = None
-    for at in range(0, len(pairs), PAIRS_AT_ONCE):
-        block = pairs[at:at + PAIRS_AT_ONCE]
-        cells = []
-        for i, j in block:
-            both = F.col(f"v{i}").isNotNull() & F.col(f"v{j}").isNotNull()
-            x, y = F.when(both, F.col(f"v{i}")), F.when(both, F.col(f"v{j}"))
-            spread = F.stddev_samp(x) * F.stddev_samp(y)
-            cells.append((F.covar_samp(x, y) / F.nullif(spread, F.lit(0.0))).alias(f"r{i}_{j}"))
-        row = clean.agg(*cells)
-        found = row.select(F.explode(F.array(*[
-            F.struct(F.lit(p).alias("p"), F.lit(q).alias("q"), F.col(f"r{i}_{j}").alias("r"))
-            for i, j in block for p, q in ({(i, j), (j, i)})
-        ])).alias("c"))
-        part = found.select(F.get(label, F.col("c.p")).alias("x"), F.get(label, F.col("c.q")).alias("y"), "c.r")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return pair_correlations(df, names, names).select("x", "y", "r")
 
 
 def value_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:

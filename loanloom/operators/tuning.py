@@ -6,7 +6,6 @@ import json
 import math
 import random
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -14,6 +13,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanloom.operators.fits import side_by_side
 from loanloom.operators.metrics import with_weight
 from loanloom.operators.models import (
     CHOSEN,
@@ -133,9 +133,7 @@ def optimize_hyperparameters(
         append_trial(spark, trials_path, trial_id, params, f2, chosen)
 
     try:
-        # fits are Spark jobs; the threads only submit them side by side
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            list(pool.map(run, todo))
+        side_by_side(spark, run, todo, max(1, parallelism), pool="trials")
         trials = read_trials(spark, trials_path)
         best = trials.orderBy(F.desc("f2_score"), "trial_id").first()
         params = json.loads(best["params"])
