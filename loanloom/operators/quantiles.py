@@ -204,8 +204,11 @@ def exact_quantiles(
             finite, {c: {r for lo, hi, _ in plan[c] for r in (lo, hi)} for c in big},
             direct_rows, grid,
         )
-        ends = {sys.float_info.max: math.inf, -sys.float_info.max: -math.inf}
-        values = {key: ends.get(v, v) for key, v in values.items()}
+        # how many stood there tells an infinite value from the largest finite one
+        below, above = (clean.agg(*[F.count_if(F.col(c) == F.lit(end)).alias(c) for c in big]).first().asDict()
+                        for end in (-math.inf, math.inf))
+        values = {(c, r): -math.inf if r < below[c] else math.inf if r >= sizes[c] - above[c] else v
+                  for (c, r), v in values.items()}
         for c in big:
             out[c] = [
                 _between(lo, hi, at, values[(c, lo)], values[(c, hi)]) for lo, hi, at in plan[c]

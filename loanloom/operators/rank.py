@@ -8,6 +8,7 @@ on its own, and the few range totals give every range its starting offset.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,9 +16,12 @@ from pyspark.sql import functions as F
 
 from loanloom.functions.scalars import present
 from loanloom.operators.quantiles import bucketed
+from loanloom.session import stage
 
 FEWEST_RANGES = 16
 ROWS_PER_RANGE = 250_000
+#: Ranges that the driver knows the cuts of; more are cut inside these, in the executors.
+COARSE_RANGES = 1_024
 
 
 def range_edges(df: DataFrame, columns: Sequence[str], ranges: int) -> dict:
@@ -27,7 +31,8 @@ def range_edges(df: DataFrame, columns: Sequence[str], ranges: int) -> dict:
         *[F.percentile_approx(present(c), probs, 10 * ranges).alias(f"e{i}")
           for i, c in enumerate(columns)]
     ).first()
-    return {c: sorted(set(row[f"e{i}"] or [0.0])) for i, c in enumerate(columns)}
+    found = {c: sorted({e for e in row[f"e{i}"] or [] if math.isfinite(e)}) for i, c in enumerate(columns)}
+    return {c: edges or [0.0] for c, edges in found.items()}
 
 
 def ranges_for(df: DataFrame) -> int:
@@ -40,29 +45,57 @@ def value_histogram(
 ) -> DataFrame:
     """Long counted values: ``feature, part, value`` plus the summed ``counts``.
 
-    ``part`` is the value range (ascending).  Missing values are left out.
+    ``part`` is the value range (ascending).  Missing values are left out.  Tables that need
+    more than :data:`COARSE_RANGES` ranges are cut in two steps, see :func:`refined`.
     """
     features = list(features)
+    wanted = ranges or ranges_for(df)
+    coarse = min(wanted, COARSE_RANGES)
     # counts are projected under fixed names, the features under positions
     base = df.select(
-        *[present(f).alias(f"x{i}") for i, f in enumerate(features)],
+        # -0.0 and 0.0 are one value, on the same side of every cut
+        *[(present(f) + F.lit(0.0)).alias(f"x{i}") for i, f in enumerate(features)],
         *[c.cast("bigint").alias(n) for n, c in counts.items()],
     )
     names = [f"x{i}" for i in range(len(features))]
-    wide = bucketed(base, range_edges(base, names, ranges or ranges_for(df)))
+    wide = bucketed(base, range_edges(base, names, coarse))
     cells = [
         F.when(F.col(n).isNotNull(), F.struct(
             F.lit(f).alias("feature"), F.col(n + "__b").cast("int").alias("part"),
-            # -0.0 and 0.0 are one value
-            (F.col(n) + F.lit(0.0)).alias("value"),
+            F.col(n).alias("value"),
         ))
         for n, f in zip(names, features, strict=True)
     ]
-    return (
+    hist = (
         wide.select(F.explode(F.array_compact(F.array(*cells))).alias("c"), *counts)
         .groupBy("c.feature", "c.part", "c.value")
         .agg(*[F.sum(n).alias(n) for n in counts])
     )
+    return hist if coarse == wanted else refined(stage(hist, "ranges"), math.ceil(wanted / coarse))
+
+
+def refined(hist: DataFrame, fine: int) -> DataFrame:
+    """Each range of ``hist`` cut into up to ``fine`` ranges of about as many distinct values.
+
+    The cuts are approximate quantiles inside a range and meet its values in a join, so they
+    never come to the driver; a crowded range is split by adaptive execution.  A value finds its
+    place among heads of runs of cuts, then in its run.
+    """
+    run = math.isqrt(fine - 1) + 1
+    probs = [i / fine for i in range(1, fine)]
+    cuts = hist.groupBy("feature", "part").agg(
+        F.percentile_approx("value", probs, 10 * fine).alias("cuts"))
+    heads = F.transform(F.sequence(F.lit(1), F.floor(F.size("cuts") / run).cast("int")), lambda i: F.get("cuts", i * run - 1))
+    cuts = cuts.withColumn("heads", F.when(F.size("cuts") >= run, heads).otherwise(F.slice("cuts", 1, 0)))
+
+    def reached(places: Column) -> Column:
+        return F.size(F.filter(places, lambda cut: cut <= F.col("value")))
+
+    first = reached(F.col("heads")) * run
+    return hist.join(cuts, ["feature", "part"]).withColumn("first", first).select(
+        "feature", (F.col("part") * fine + F.col("first") + reached(
+            F.slice("cuts", F.col("first") + 1, F.lit(run)))).cast("int").alias("part"),
+        *[c for c in hist.columns if c not in ("feature", "part")])
 
 
 def prefix_sum(

@@ -1,5 +1,6 @@
 import math
 import random
+import sys
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,35 @@ def test_infinite_quantiles_on_both_paths(frame):
     assert narrowed[0] == -math.inf and narrowed[-1] == math.inf and math.isfinite(narrowed[4])
 
 
+def test_largest_doubles_stay_finite(frame):
+    most = sys.float_info.max
+    df = frame([(float(v),) for v in range(45)] + [(most,)] * 9 + [(math.inf,)] * 4 + [(-most,)] * 6 + [(-math.inf,)], "x double")
+    probs = [i / 64 for i in range(65)]
+    narrowed = exact_quantiles(df, ["x"], probs, direct_rows=5, grid=4)["x"]
+    assert narrowed == sorted(df.toPandas()["x"])
+
+
+def test_ranges_inside_ranges(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(3.0 if i % 3 == 0 else math.exp(rng.gauss(0, 4)), rng.choice([None, math.inf, -math.inf, 0.0, -0.0, math.nan, 1.5]),
+             7.0, i % 2, rng.choice([0.1, 0.5, rng.random()])) for i in range(6000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y int, p double")
+    names = ["a", "b", "c"]
+    ranks, parts = rank.average_ranks(df, names), rank.roc_points(df, ["p"], "y").collect()
+    monkeypatch.setattr(rank, "COARSE_RANGES", 5)
+    for wanted in (6, 40, 100):
+        hist = rank.value_histogram(df, names, {"n": F.lit(1)}, wanted)
+        assert sorted(map(str, rank.average_ranks(df, names, wanted).collect())) == sorted(map(str, ranks.collect()))
+        spans = hist.groupBy("feature", "part").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("*").alias("n"))
+        for name in names:
+            cut = [(r.lo, r.hi) for r in spans.where(F.col("feature") == name).orderBy("part").collect()]
+            assert all(a[1] < b[0] for a, b in zip(cut, cut[1:], strict=False))
+        most = spans.where("feature = 'a'").agg(F.max("n")).first()[0]
+        assert most <= 3 * 4001 / wanted + 5
+    monkeypatch.setattr(rank, "ranges_for", lambda _: 60)
+    assert sorted(map(str, rank.roc_points(df, ["p"], "y").collect())) == sorted(map(str, parts))
+
+
 def test_quantiles_of_nothing(frame):
     df = frame([(None, math.nan)], "a double, b double")
     assert exact_quantiles(df, ["a", "b"], [0.5]) == {"a": [None], "b": [None]}
