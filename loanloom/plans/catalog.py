@@ -2,6 +2,7 @@
 
 from loanloom.plans import (  # noqa: F401
     decision_queries,
+    detail_queries,
     encode_queries,
     model_queries,
     quality_queries,
