@@ -19,6 +19,7 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanloom.llm.text import Texts, binaries, ragged, steps, table
@@ -142,10 +143,15 @@ def pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Tokens:
-    """Ids of some texts end to end; ``offsets`` by text, ``pieces`` by piece (for decoding parts)."""
+    """Ids of some texts end to end; ``offsets`` by text.
 
-    def __init__(self, ids: np.ndarray, offsets: np.ndarray, pieces: np.ndarray):
-        self.ids, self.offsets, self.pieces = ids, offsets, pieces
+    ``pieces`` has the place of each piece's first id, ``begins`` of its first byte, ``firsts``
+    the number of each text's first piece.
+    """
+
+    def __init__(self, ids: np.ndarray, pieces: np.ndarray, begins: np.ndarray, firsts: np.ndarray):
+        self.ids, self.pieces, self.begins, self.firsts = ids, pieces, begins, firsts
+        self.offsets = pieces[firsts]
 
     def of(self, i: int) -> np.ndarray:
         return self.ids[self.offsets[i]:self.offsets[i + 1]]
@@ -287,12 +293,23 @@ class Coder:
         counts = known.counts[number]
         ends = np.zeros(len(counts) + 1, dtype=np.int64)
         np.cumsum(counts, out=ends[1:])
-        return Tokens(known.ids[ragged(known.starts[number], counts)], ends[firsts], ends)
+        return Tokens(known.ids[ragged(known.starts[number], counts)], ends, begins, firsts)
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """Bytes of ids, end to end."""
         return self.letters[ragged(self.starts[ids], self.lengths[ids])]
 
+    def part(self, ids: bytes, piece_ids: bytes, piece_bytes: bytes, start: int | None, stop: int | None) -> bytes:
+        """Bytes ``start`` to ``stop`` of one text, from the ids of the pieces that touch them."""
+        if not ids or start is None or stop is None or stop <= max(start, 0):
+            return b""
+        numbers, at, begins = (np.frombuffer(x, "<u4") for x in (ids, piece_ids, piece_bytes))
+        start = max(start, 0)
+        first = int(np.searchsorted(begins, start, "right")) - 1
+        last = int(np.searchsorted(begins, stop, "left"))
+        found = self.decode(numbers[at[first]:at[last] if last < len(at) else len(numbers)]).tobytes()
+        return found[start - int(begins[first]):stop - int(begins[first])]
+
 
 def parse_ranks(raw: bytes) -> dict[bytes, int]:
     """Ranks of a file with one ``base64 rank`` a line."""
@@ -306,16 +323,25 @@ def coder(path: str) -> Coder:
         return Coder(parse_ranks(file.read()))
 
 
-def encode(docs: DataFrame, ranks: str, column: str = "text") -> DataFrame:
+#: What :func:`encode` adds with ``offsets``: where each piece begins among the ids and the bytes.
+OFFSETS = ["piece_ids", "piece_bytes"]
+
+
+def encode(docs: DataFrame, ranks: str, column: str = "text", offsets: bool = False) -> DataFrame:
     """``docs`` plus ``token_ids`` (little-endian unsigned 32-bit numbers) and ``n_tokens``.
 
     ``ranks`` is the path of the rank file on every machine (an installed package).  Null
-    counts as empty text; empty text has no ids.  Each row stands for itself, so repeated
-    rows and further columns are kept; columns of the two new names are replaced.
+    counts as empty text; empty text has no ids, an empty table gives an empty one.  A text of
+    any length is encoded whole.  Each row stands for itself, so repeated rows and further
+    columns are kept; columns of the new names are replaced.  With ``offsets``
+    :data:`OFFSETS` are kept in the same form as the ids, for :func:`decode_part`.
     """
-    rest = [c for c in docs.columns if c not in ("token_ids", "n_tokens")]
+    new = ["token_ids", "n_tokens", *(OFFSETS if offsets else [])]
+    rest = [c for c in docs.columns if c not in new]
     kept = docs.select(*rest)
     schema = T.StructType(list(kept.schema.fields)).add("token_ids", "binary").add("n_tokens", "long")
+    for name in new[2:]:
+        schema = schema.add(name, "binary")
 
     def run(batches):
         own = coder(ranks)
@@ -323,9 +349,35 @@ def encode(docs: DataFrame, ranks: str, column: str = "text") -> DataFrame:
             for part, texts in steps(batch, column, 1 << 20):
                 tokens = own.encode(texts)
                 counts = np.diff(tokens.offsets)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, binaries(tokens.ids.astype("<u4"), counts), pa.array(counts)],
-                    names=[*rest, "token_ids", "n_tokens"])
+                columns = [binaries(tokens.ids.astype("<u4"), counts), pa.array(counts)]
+                if offsets:
+                    many = np.diff(tokens.firsts)
+                    columns += [binaries((places - np.repeat(starts, many)).astype("<u4"), many) for places, starts in (
+                        (tokens.pieces[:-1], tokens.offsets[:-1]), (tokens.begins, texts.offsets[:-1]))]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*rest, *new])
+
+    return kept.mapInArrow(run, schema)
+
+
+def decode_part(docs: DataFrame, ranks: str, start: str, stop: str, to: str = "part") -> DataFrame:
+    """``docs`` of ``encode(offsets=True)`` plus the bytes ``start`` to ``stop`` (exclusive) of each text.
+
+    Columns ``start`` and ``stop`` count bytes of the text.  The pieces around the part are found
+    by their offsets, and only their ids are decoded.  Ends outside the text are moved to it;
+    with a null end, no ids or an empty range the part is empty.  All rows and further columns
+    are kept; a column named ``to`` is replaced.
+    """
+    rest = [c for c in docs.columns if c != to]
+    kept = docs.select(*rest, F.col(start).cast("long").alias("__start"), F.col(stop).cast("long").alias("__stop"))
+    schema = T.StructType(list(kept.schema.fields)[:-2]).add(to, "binary")
+    needed = ["token_ids", *OFFSETS, "__start", "__stop"]
+
+    def run(batches):
+        own = coder(ranks)
+        for batch in batches:
+            parts = [own.part(*row) for row in zip(*(batch.column(c).to_pylist() for c in needed), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-2], pa.array(parts, pa.binary())], names=[*rest, to])
 
     return kept.mapInArrow(run, schema)
 

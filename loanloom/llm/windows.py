@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loanloom.session import stage
 from loanloom.llm.text import BLANK_WORD, Rolling, keyed, mix, ragged, signed, steps, table
 from loanloom.session import stage
 

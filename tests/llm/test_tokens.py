@@ -108,3 +108,33 @@ def test_files_that_are_no_ids(spark, tmp_path):
 def test_numbers_survive():
     for n in (0, 1, -1, 32767, 32768, (1 << 63) - 1, -(1 << 63), None):
         assert tokencounts.number_of(tokencounts.head_ids(n).tobytes()) == n
+
+
+def test_parts_are_decoded_from_their_pieces(spark, documents):
+    rng = random.Random(9)
+    texts = ["".join(rng.choices(PIECES, k=rng.randint(1, 40))) for _ in range(60)]
+    texts += ["", None, "one two three " * 20_000, "b" * 300, "same words", "same words"]
+    df = bpe.encode(documents(list(enumerate(texts))), RANKS, offsets=True)
+    whole = bpe.decode(df, RANKS)
+    ranges = [(0, 1 << 30), (0, 0), (3, 9), (7, 8), (-5, 4), (9, 3), (1 << 40, 1 << 41), (None, 5), (250_000, 250_011)]
+    asked = whole.crossJoin(spark.createDataFrame(ranges, "a long, z long"))
+    rows = bpe.decode_part(asked, RANKS, "a", "z").collect()
+    assert len(rows) == len(texts) * len(ranges)
+    for r in rows:
+        raw = (r["text"] or "").encode()
+        assert bytes(r["decoded"]) == raw
+        assert bytes(r["part"]) == (b"" if r["a"] is None else raw[max(r["a"], 0):max(r["z"], 0)])
+        begins = np.frombuffer(r["piece_bytes"], "<u4")
+        assert len(begins) == len(r["piece_ids"]) // 4 and (np.diff(begins) > 0).all()
+    assert bpe.decode_part(asked.limit(0), RANKS, "a", "z").count() == 0
+
+
+def test_a_part_decodes_few_ids(monkeypatch):
+    own = bpe.coder(RANKS)
+    text = "one two three four " * 5_000
+    found = own.encode(strings(pa.array([text])))
+    packed = [x.astype("<u4").tobytes() for x in (found.ids, found.pieces[:-1], found.begins)]
+    seen, plain = [], own.decode
+    monkeypatch.setattr(own, "decode", lambda ids: seen.append(len(ids)) or plain(ids))
+    assert own.part(*packed, 50_000, 50_020) == text[50_000:50_020].encode()
+    assert max(seen) < 12
