@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.functions.scalars import present
+from loanloom.operators.donors import DonorIndex
 from loanloom.operators.schema import categorical_columns, numeric_columns
 from loanloom.session import stage
 
@@ -45,78 +45,47 @@ def impute_categorical_features(
     return train.fillna(modes), test.fillna({c: v for c, v in modes.items() if c in test.columns})
 
 
-# Patterns of missing values handled per search; more patterns take more searches.
-PATTERNS_AT_ONCE = 64
-# Start radius is cut until no cell holds more donors than this.
-CELL_DONORS = 2_000
-
-
 @dataclass
 class NeighbourImputer:
     """Mean of the ``k`` nearest training rows that have the feature.
 
     The distance is Euclidean over the features present in both rows, scaled up by the
-    share of features compared; ties go to the smaller id.  Rows are not compared all
-    against all.  Donors are laid on a grid over the (up to three) widest features both
-    sides have, a row looks into its own and the adjacent cells, and its result is final
-    once its k-th distance is no more than the cell width allows for anything outside.
-    Rows that are not final repeat with doubled cells; a cell width over the whole range
-    compares with everything that is left, so the result is exact.
+    share of features compared; ties go to the smaller id.  Infinite values are neither
+    compared nor handed on.  One :class:`loanloom.operators.donors.DonorIndex` serves every
+    pattern of gaps, and the result is exact.  With ``start_radius`` rows look within that
+    distance first; it changes the work and not the result.
     """
 
     features: Sequence[str]
     id_column: str
     k: int = 5
-    grid_features: int = 3
     start_radius: float | None = None
 
     def fit(self, train: DataFrame) -> NeighbourModel:
         names = list(self.features)
-        stats = train.agg(*[
-            F.struct(
-                F.avg(present(f)).alias("mean"), F.var_samp(present(f)).alias("variance"),
-                F.min(present(f)).alias("low"), F.max(present(f)).alias("high"),
-                F.percentile_approx(present(f), [0.25, 0.75], 100).alias("q"),
-                F.count(present(f)).alias("n"),
-            ).alias(f"s{i}") for i, f in enumerate(names)
-        ]).first()
-        facts = [stats[f"s{i}"] for i in range(len(names))]
-        order = sorted(range(len(names)), key=lambda i: (-(facts[i]["variance"] or 0.0), i))
+        means = train.agg(*[F.avg(_finite(f)).alias(f"m{i}") for i, f in enumerate(names)]).first()
         donors = _vectors(train, names, self.id_column).where(F.instr("mask", "1") > 0)
-        return NeighbourModel(self, names, facts, order, stage(donors, "donors"))
+        return NeighbourModel(self, names, list(means), DonorIndex.build(donors, len(names), self.k))
+
+
+def _finite(name: str) -> Column:
+    value = present(name)
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def _vectors(df: DataFrame, features: Sequence[str], id_column: str) -> DataFrame:
-    """``id, x`` (array of doubles) and ``mask`` (``1`` where a value is present)."""
-    values = [present(f) for f in features]
+    """``id, x`` (array of doubles) and ``mask`` (``1`` where a value is there)."""
+    values = [_finite(f).cast("double") for f in features]
     mask = F.concat(*[F.when(v.isNotNull(), "1").otherwise("0") for v in values])
     return df.select(F.col(id_column).alias("id"), F.array(*values).alias("x"), mask.alias("mask"))
 
 
-def _has(mask: str, i: int) -> Column:
-    return F.substring(mask, i + 1, 1) == "1"
-
-
-def _distance(a: str, b: str, n: int) -> Column:
-    """Euclidean distance over the places both arrays fill, scaled up to ``n`` places."""
-    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    # one fold: an unrolled sum would be evaluated anew for every use in the plan
-    return F.aggregate(
-        squares, F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n")),
-        lambda acc, v: F.struct(
-            (acc["sum"] + F.coalesce(v, F.lit(0.0))).alias("sum"),
-            (acc["n"] + v.isNotNull().cast("int")).alias("n")),
-        lambda acc: F.sqrt(F.lit(float(n)) / acc["n"] * acc["sum"]),
-    )
-
-
 @dataclass
 class NeighbourModel:
     imputer: NeighbourImputer
     features: list[str]
-    facts: list
-    order: list[int]
-    donors: DataFrame
+    means: list[float | None]
+    index: DonorIndex
 
     def transform(self, df: DataFrame) -> DataFrame:
         """All features as double with the gaps filled, moved behind the other columns."""
@@ -128,165 +97,24 @@ class NeighbourModel:
             F.first("value")
         ).toDF("__id", *[f"__f{i}" for i in range(len(self.features))])
         filled = [
-            F.coalesce(present(f), F.col(f"__f{i}"), F.lit(self.facts[i]["mean"])).alias(f)
+            F.coalesce(present(f), F.col(f"__f{i}"), F.lit(self.means[i])).alias(f)
             for i, f in enumerate(self.features)
         ]
         joined = df.join(wide, F.col("__row") == F.col("__id"), "left")
         return joined.select(*others, *filled)
 
-    def neighbours(self, df: DataFrame, id_column: str | None = None) -> DataFrame:
-        """``id, feature (position), value``: the neighbour mean of every gap that has one."""
-        spark = df.sparkSession
-        gaps = stage(
-            _vectors(df, self.features, id_column or self.imputer.id_column)
-            .where(F.instr("mask", "0") > 0).where(F.instr("mask", "1") > 0), "gaps",
-        )
-        found = spark.createDataFrame([], gaps.selectExpr(
-            "id", "0 as feature", "0D as value").schema)
-        last = ""
-        while True:
-            # patterns of missing values in order, a bounded number of short texts at a time
-            block = [r["mask"] for r in gaps.where(F.col("mask") > last).select("mask").distinct()
-                     .orderBy("mask").limit(PATTERNS_AT_ONCE).collect()]
-            if not block:
-                return found
-            for part in self._search(gaps.where(F.col("mask").isin(block)), block):
-                found = found.unionByName(part)
-            last = block[-1]
-
-    def _donors_for(self, masks: list[str]) -> DataFrame:
-        """Donors per query pattern, with the grid features of the pair.
+    def neighbours(self, df: DataFrame, id_column: str) -> DataFrame:
+        """``id, feature (position), value``: the neighbour mean of every gap that has one.
 
-        Copies that no query of the pattern can tell apart keep only their ``k`` smallest
-        ids, because no other copy can be among its ``k`` nearest.
+        ``id_column`` holds a bigint of its own in every row.
         """
-        n = len(self.features)
-        both = [F.when(_has("qmask", i) & _has("mask", i), F.lit(i + 1)) for i in self.order]
-        seen = F.array(*[F.when(_has("qmask", i), F.col("x")[i]) for i in range(n)])
-        order = Window.partitionBy("qmask", "mask", "seen").orderBy("id")
-        useful = F.lit(False)
-        for i in range(n):
-            useful = useful | (~_has("qmask", i) & _has("mask", i))
-        expanded = (
-            self.donors.withColumn("qmask", F.explode(F.array(*[F.lit(m) for m in masks])))
-            .withColumn("dims", F.slice(F.array_compact(F.array(*both)), 1, self.imputer.grid_features))
-            .where((F.size("dims") > 0) & useful)
-            .withColumn("seen", seen)
-            .withColumn("copy", F.row_number().over(order))
-            .where(F.col("copy") <= self.imputer.k)
-        )
-        return stage(expanded.select("id", "x", "qmask", "dims"), "donors")
-
-    def _cells(self, radius: float) -> list[Column]:
-        dim = self.imputer.grid_features
-        return [
-            F.when(F.size("dims") > j, F.floor(
-                F.element_at("x", F.try_element_at("dims", F.lit(j + 1))) / F.lit(radius)))
-            .otherwise(F.lit(0)).cast("bigint")
-            for j in range(dim)
-        ]
-
-    def _expected_distance(self, mask: str) -> float:
-        """Half width of a box over the pattern's features that would hold ``k`` donors if
-        each feature were spread evenly over its middle half."""
-        present_facts = [f for f, bit in zip(self.facts, mask, strict=True) if bit == "1" and f["n"]]
-        spreads = [2 * (f["q"][1] - f["q"][0]) or f["high"] - f["low"] for f in present_facts]
-        spreads = [s for s in spreads if s > 0]
-        if not spreads:
-            return 1.0
-        wanted = min(1.0, self.imputer.k / max(f["n"] for f in present_facts))
-        low, high = 0.0, max(spreads)
-        for _ in range(60):
-            mid = (low + high) / 2
-            if math.prod(min(1.0, 2 * mid / s) for s in spreads) < wanted:
-                low = mid
-            else:
-                high = mid
-        return high
-
-    def _start_radius(self, donors: DataFrame, masks: list[str]) -> float:
-        if self.imputer.start_radius:
-            return self.imputer.start_radius
-        guesses = [self._expected_distance(mask) for mask in masks]
-        radius = min(guesses)
-        names = [f"c{j}" for j in range(self.imputer.grid_features)]
-        for _ in range(20):
-            cells = donors.select("qmask", "dims", *[
-                c.alias(n) for c, n in zip(self._cells(radius), names, strict=True)])
-            fullest = cells.groupBy("qmask", "dims", *names).count().agg(F.max("count")).first()[0]
-            if not fullest or fullest <= CELL_DONORS:
-                break
-            radius /= 4
-        return radius
-
-    def _search(self, queries: DataFrame, masks: list[str]):
-        k, n, dim = self.imputer.k, len(self.features), self.imputer.grid_features
-        names = [f"c{j}" for j in range(dim)]
-        donors = self._donors_for(masks)
-        # a few feature triples per pattern
-        groups = queries.sparkSession.createDataFrame(
-            donors.select("qmask", "dims").distinct().collect(), "qmask string, dims array<int>")
-        spread = queries.sparkSession.sparkContext.defaultParallelism
-        ends = queries.agg(*[F.max(F.abs(F.col("x")[i])).alias(f"m{i}") for i in range(n)]).first()
-        reach = 1.0 + max(
-            [abs(v) for f in self.facts for v in (f["low"], f["high"]) if v is not None]
-            + [v for v in ends if v is not None]
-        )
-        radius = self._start_radius(donors, masks)
-        missing = F.array_compact(F.array(*[
-            F.when(~_has("mask", i), F.lit(i)) for i in range(n)]))
-        open_rows = queries.select(
-            "id", F.col("mask").alias("qmask"), "x", missing.alias("open"),
-            F.length(F.replace("mask", F.lit("0"), F.lit(""))).alias("n_present"),
+        gaps = (
+            _vectors(df, self.features, id_column)
+            .where(F.instr("mask", "0") > 0).where(F.instr("mask", "1") > 0)
+            .withColumn("open", F.array_compact(F.transform(
+                "x", lambda v, i: F.when(v.isNull(), i))))
         )
-        while True:
-            last = radius > 2 * reach
-            laid = donors.select(
-                "qmask", "dims", F.col("id").alias("donor"), F.col("x").alias("d"),
-                *[c.alias(c_name) for c, c_name in zip(self._cells(radius), names, strict=True)],
-            )
-            # few rows may be left, each with many comparisons to make
-            probes = open_rows.repartition(spread).join(groups, "qmask").select("*", *[
-                c.alias(c_name) for c, c_name in zip(self._cells(radius), names, strict=True)])
-            for j, c_name in enumerate(names):
-                near = F.when(F.size("dims") > j, F.sequence(F.col(c_name) - 1, F.col(c_name) + 1))
-                probes = probes.withColumn(
-                    c_name, F.explode(F.coalesce(near, F.array(F.col(c_name)))))
-            pairs = probes.join(laid, ["qmask", "dims", *names])
-            values = F.filter(
-                F.transform("open", lambda f: F.struct(
-                    f.alias("feature"), F.get("d", f).alias("value"))),
-                lambda s: s["value"].isNotNull(),
-            )
-            scored = pairs.withColumn("dist", _distance("x", "d", n))
-            if not last:
-                # a donor outside the searched box is farther than this, so a row with k
-                # donors within it is final, and donors beyond it cannot matter yet
-                scored = scored.where(F.col("dist") <= F.lit(radius) * F.sqrt(
-                    F.lit(float(n)) / F.col("n_present")))
-            scored = scored.select("id", "donor", "dist", F.explode(values).alias("v"))
-            nearest = Window.partitionBy("id", "v.feature").orderBy("dist", "donor")
-            best = (
-                scored.withColumn("position", F.row_number().over(nearest))
-                .where(F.col("position") <= k)
-                .groupBy("id", "v.feature").agg(
-                    F.avg("v.value").alias("value"), F.count(F.lit(1)).alias("n"))
-            )
-            sure = F.lit(True) if last else F.col("n") == k
-            done = stage(best.where(sure).select("id", "feature", "value"), "neighbours")
-            yield done
-            if last:
-                return
-            still = (
-                open_rows.select("id", F.explode("open").alias("feature"))
-                .join(done, ["id", "feature"], "left_anti")
-                .groupBy("id").agg(F.collect_list("feature").alias("still"))
-            )
-            open_rows = stage(
-                open_rows.join(still, "id").withColumn("open", F.col("still")).drop("still"), "open")
-            if open_rows.isEmpty():
-                return
-            radius *= 2
+        return self.index.nearest(gaps, self.imputer.start_radius)
 
 
 def impute_numerical_features(

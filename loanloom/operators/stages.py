@@ -107,18 +107,20 @@ class NeighbourFill(StoredStage):
 
     def facts(self):
         m, i = self.model, self.model.imputer
-        facts = [f if isinstance(f, dict) else f.asDict() for f in m.facts]
         return {"imputer": {"features": list(i.features), "id_column": i.id_column, "k": i.k,
-                            "grid_features": i.grid_features, "start_radius": i.start_radius},
-                "features": m.features, "facts": facts, "order": m.order}
+                            "start_radius": i.start_radius},
+                "features": m.features, "means": m.means, "cuts": m.index.cuts}
 
     def tables(self):
-        return {"donors": self.model.donors}
+        index = self.model.index
+        return {"blocks": index.blocks, **{f"level:{i}": t for i, t in enumerate(index.levels)}}
 
     @classmethod
     def build(cls, facts, tables):
-        return cls(NeighbourModel(NeighbourImputer(**facts["imputer"]), facts["features"], facts["facts"],
-                                  facts["order"], tables["donors"]))
+        levels = [t for name, t in tables.items() if name.startswith("level:")]
+        imputer = NeighbourImputer(**facts["imputer"])
+        index = DonorIndex(len(facts["features"]), imputer.k, tables["blocks"], levels, facts["cuts"])
+        return cls(NeighbourModel(imputer, facts["features"], facts["means"], index))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return self.model.transform(dataset)
