@@ -2,9 +2,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from loanloom.operators import donors, impute
+from loanloom.operators import donors, impute, stages
 from tests.test_impute_encode import brute
 
 NAMES = ["a", "b", "c", "d"]
@@ -108,3 +109,13 @@ def test_order_cuts_every_row_once():
     leaf = donors._leaf_of(x, cuts)
     assert len(cuts) == 7 and set(leaf) == set(range(8))
     assert not donors._leaf_of(np.ones((4, 3)), donors._coarse_cuts(np.ones((9, 3)), 4)).any()
+
+
+def test_stored_index_finds_the_same(spark, tmp_path):
+    rows = gappy("spread")
+    got, model = filled(spark, rows, rows, **SMALL)
+    PipelineModel([stages.NeighbourFill(model)]).write().save(f"{tmp_path}/fill")
+    again = PipelineModel.load(f"{tmp_path}/fill").stages[0].model
+    assert len(again.index.levels) == len(model.index.levels)
+    table = spark.createDataFrame([(r["id"], *[r[f] for f in NAMES]) for r in rows], SCHEMA)
+    assert {r["id"]: r for r in again.transform(table).collect()} == got
