@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.operators.fits import side_by_side
+from loanloom.operators.forest import DeepForest
 from loanloom.operators.metrics import (
     METRICS,
     evaluate_scores,
@@ -65,15 +66,19 @@ def importances_of(model) -> list[float]:
 
 
 class ImportanceSelector(Estimator):
-    """Fit a classifier and keep the vector slots whose importance reaches the mean."""
+    """Fit a classifier (or grow a :class:`DeepForest`) and keep the vector slots whose importance
+    reaches the mean."""
 
     def __init__(self, classifier, input_col: str = RAW, output_col: str = CHOSEN):
         super().__init__()
         self.classifier, self.input_col, self.output_col = classifier, input_col, output_col
 
     def _fit(self, dataset: DataFrame) -> VectorSlicer:
-        fitted = self.classifier.copy({self.classifier.featuresCol: self.input_col}).fit(dataset)
-        scores = importances_of(fitted)
+        if isinstance(self.classifier, DeepForest):
+            scores = self.classifier.importances(dataset, self.input_col, LABEL)
+        else:
+            fitted = self.classifier.copy({self.classifier.featuresCol: self.input_col}).fit(dataset)
+            scores = importances_of(fitted)
         mean = sum(scores) / len(scores)
         # equal importances may round to just below their mean
         kept = [i for i, s in enumerate(scores) if s >= mean * (1 - 1e-12)]
@@ -111,7 +116,7 @@ def model_pipeline(
         selector = DecisionTreeClassifier(**common, maxDepth=DEEPEST_TREE)
         last = DecisionTreeClassifier(**weighted, maxDepth=DEPTH, minInstancesPerNode=MIN_LEAF)
     elif name == "Random Forest":
-        selector = RandomForestClassifier(**common, numTrees=trees, maxDepth=DEEPEST_TREE)
+        selector = DeepForest(trees, DEEPEST_TREE, seed)
         last = RandomForestClassifier(
             **weighted, numTrees=trees, maxDepth=FOREST_DEPTH, minInstancesPerNode=MIN_LEAF)
     elif name in ("Gradient Boosting", "XGBoost", "LightGBM"):
