@@ -49,6 +49,15 @@ def test_the_driver_holds_few_nodes_of_a_deep_forest(rows, monkeypatch):
     assert 6 < len(seen[0][0].tree) < 6 * 20
 
 
+def test_feature_importances_without_the_deep_trees(rows):
+    ready = rows.drop(models.RAW).withColumn("weight", F.lit(1.0)).withColumn("id", F.monotonically_increasing_id())
+    pipeline = models.model_pipeline("Random Forest", FEATURES, 3000, trees=4)
+    assert isinstance(pipeline.getStages()[2].classifier, DeepForest)
+    got = {r["feature"]: r["importance"] for r in models.extract_feature_importances(
+        pipeline.fit(ready), ready, FEATURES, "id").collect()}
+    assert set(got) == set(FEATURES) and sum(got.values()) == pytest.approx(1) and got["c"] == 0
+
+
 def test_draws_are_poisson():
     n = np.concatenate([forest.drawn(42, t, np.arange(20_000)) for t in range(5)])
     assert n.mean() == pytest.approx(1, abs=0.02) and n.var() == pytest.approx(1, abs=0.03)
