@@ -134,6 +134,20 @@ def test_model_is_a_distribution(documents):
         assert abs(model.of(every + np.uint32(context << 6)).sum() - 1) < 1e-9
 
 
+def test_bands_follow_the_deviation(spark):
+    """The deviation of a language sets its band; the floor is for languages of copies."""
+    rows = [("en", 1.0 + 0.002 * (i - 25), False) for i in range(51)] + [("en", 9.0, True)] * 60
+    rows += [("de", 2.0, False)] * 9 + [("de", 2.2, False)]
+    scored = spark.createDataFrame(rows, "lang string, entropy double, base_failed boolean")
+    got = {r["lang"]: (r["low"], r["high"]) for r in quality.bands(scored).collect()}
+    assert got["en"] == pytest.approx((1 - 6 * 0.026, 1 + 6 * 0.026), abs=0.013)
+    narrow = [("en", 1.0 + 0.0005 * (i - 25), False) for i in range(51)]
+    got |= {r["lang"] + "2": (r["low"], r["high"]) for r in quality.bands(
+        spark.createDataFrame(narrow, scored.schema)).collect()}
+    assert got["en2"][0] > 0.92 and got["en2"][1] < 1.08
+    assert got["de"][0] < 2.0 < got["de"][1] < 2.2
+
+
 def test_odd_language_leaves_its_band(spark):
     clean = " ".join(["the river ran past a small old town and nobody in it knew the name of the river"] * 3)
     rng = random.Random(4)
