@@ -13,7 +13,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -237,38 +237,65 @@ def permutation_importances(
     Rows are numbered once in hash order and written.  In every repeat a row's features go to
     the row that :func:`shuffled_places` names, a permutation of its own for each repeat; all
     repeats travel in one exchange, which also brings the row's own features and label.  A
-    second exchange sums the hits of all features and repeats.
+    second exchange sums the hits of all features and repeats.  Features that the model does not
+    read (:func:`read_features`) change no prediction and are not shuffled.
     """
     part = F.conv(F.substring("key", 1, 3), 16, 10).cast("int")
     keyed = df.select("*", hash_key(id_column, seed, "shuffle:").alias("key")).select(
         "*", part.alias("part"), F.lit("rows").alias("all"), F.lit(1).cast("bigint").alias("n"))
     rows = stage(prefix_sum(keyed, ["all"], "key", ["n"]).drop("key", "part", "all", "n"), "rows")
-    base, hits = accuracy(model.transform(rows)), shuffled_hits(model, rows, features, repeats, seed)
-    return hits.groupBy("feature").agg(
+    base = accuracy(model.transform(rows))
+    read = list(features) if base is None else read_features(model, rows, features)
+    out = shuffled_hits(model, rows, features, repeats, seed, read).groupBy("feature").agg(
         F.avg(F.lit(base) - F.col("score")).alias("importance"),
         F.stddev_pop(F.lit(base) - F.col("score")).alias("importance_std"))
-
-
-def shuffled_hits(model: Transformer, rows: DataFrame, features: Sequence[str], repeats: int, seed: int) -> DataFrame:
-    """``feature, repeat, score``: accuracy over numbered ``rows`` with one feature shuffled."""
+    rest = [(f, 0.0, 0.0) for f in features if f not in read]
+    return out.unionByName(df.sparkSession.createDataFrame(rest, out.schema)) if rest else out
+
+
+def read_features(model: Transformer, df: DataFrame, features: Sequence[str]) -> list[str]:
+    """The features that the classifier of a pipeline reads: all, unless a slicer just before it
+    takes slots out of a vector that is assembled from plain numbers and at most scaled."""
+    *first, slicer, last = model.stages if isinstance(model, PipelineModel) and len(model.stages) > 2 else [None, None]
+    at = next((i for i, s in enumerate(first) if isinstance(s, VectorAssembler)), None)
+    plain = all(df.schema[f].dataType.typeName() in ("double", "float", "integer", "long", "short", "byte") for f in features)
+    if not isinstance(slicer, VectorSlicer) or slicer.getNames() or at is None or not plain:
+        return list(features)
+    column = first[at].getOutputCol()
+    for s in first[at + 1:]:
+        if not isinstance(s, StandardScalerModel) or s.getInputCol() != column:
+            return list(features)
+        column = s.getOutputCol()
+    if (column != slicer.getInputCol() or last.getFeaturesCol() != slicer.getOutputCol()
+            or not all(isinstance(s, FeatureNameSanitizer) for s in first[:at])
+            or first[at].getInputCols() != sanitized_names(features)):
+        return list(features)
+    return [features[i] for i in slicer.getIndices()]
+
+
+def shuffled_hits(model: Transformer, rows: DataFrame, features: Sequence[str], repeats: int, seed: int,
+                  shuffled: Sequence[str] | None = None) -> DataFrame:
+    """``feature, repeat, score``: accuracy over numbered ``rows`` with one feature (of ``shuffled``,
+    or of all) shuffled."""
     total = rows.count()
+    shuffled = list(features if shuffled is None else shuffled)
 
     @F.pandas_udf("array<bigint>")
     def places(numbers: pd.Series) -> pd.Series:
         found = [shuffled_places(numbers.to_numpy(), total, seed, r) for r in range(repeats)]
         return pd.Series(list(np.stack(found, axis=1)) if len(numbers) else [])
 
-    values = F.struct(*[F.col(f) for f in features])
-    sent = rows.select(values.alias("v"), F.posexplode(places("before_n")).alias("repeat", "place"))
-    own = rows.select(values.alias("v"), F.lit(-1).alias("repeat"), F.col("before_n").alias("place"), LABEL)
+    sent = rows.select(F.struct(*shuffled).alias("w"), F.posexplode(places("before_n")).alias("repeat", "place"))
+    own = rows.select(F.struct(*features).alias("v"), F.lit(-1).alias("repeat"), F.col("before_n").alias("place"), LABEL)
     met = own.unionByName(sent, allowMissingColumns=True).groupBy("place").agg(
         F.max(LABEL).alias(LABEL), F.max_by("v", F.when(F.col("repeat") < 0, 1)).alias("own"),
-        F.collect_list(F.when(F.col("repeat") >= 0, F.struct("repeat", "v"))).alias("others"))
+        F.collect_list(F.when(F.col("repeat") >= 0, F.struct("repeat", "w"))).alias("others"))
     each = met.select(LABEL, "own", F.explode("others").alias("other")).select(
-        LABEL, "own", "other.repeat", F.col("other.v").alias("other"),
-        F.explode(F.array(*[F.lit(f) for f in features])).alias("__feature"))
+        LABEL, "own", "other.repeat", F.col("other.w").alias("other"),
+        F.explode(F.array(*[F.lit(f) for f in shuffled])).alias("__feature"))
     both = each.select(LABEL, "repeat", "__feature", *[
-        F.when(F.col("__feature") == f, F.col("other")[f]).otherwise(F.col("own")[f]).alias(f) for f in features])
+        (F.when(F.col("__feature") == f, F.col("other")[f]).otherwise(F.col("own")[f]) if f in shuffled
+         else F.col("own")[f]).alias(f) for f in features])
     hit = (F.col("prediction") == F.col(LABEL)).cast("double")
     return model.transform(both).groupBy(F.col("__feature").alias("feature"), "repeat").agg(F.avg(hit).alias("score"))
 

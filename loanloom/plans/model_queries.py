@@ -26,8 +26,9 @@ FEATURES = ["amt_income_total", "amt_credit", "amt_annuity", "amt_goods_price",
 def splits(spark, sf_dir, features=FEATURES):
     """All rows in the three parts of the stratified split; gaps hold the training part's medians."""
     apps = create_derived_features(applications(spark, sf_dir))
-    parts = stage(sampling.stratified_split(
-        apps.select("sk_id_curr", TARGET, *features), TARGET, "sk_id_curr"), "split")
+    # the split reads its table several times: the joins are run once
+    table = stage(apps.select("sk_id_curr", TARGET, *features), "applications")
+    parts = stage(sampling.stratified_split(table, TARGET, "sk_id_curr"), "split")
     middle = exact_quantiles(parts.where("split = 'train'"), features, [0.5])
     filled = parts.withColumns({f: F.coalesce(present(f), F.lit(middle[f][0])) for f in features})
     return [filled.where(F.col("split") == s).drop("split") for s in ("train", "validation", "test")]

@@ -76,6 +76,21 @@ def test_permutation_finds_the_signal(table):
         assert hits.where(f"repeat = {repeat} and feature = 'good'").first()["score"] == pytest.approx(want)
 
 
+def test_unread_features_are_not_shuffled(table, monkeypatch):
+    ready = models.labelled(table, FEATURES, "y", "Logistic Regression", keep=["id"])
+    fitted = models.model_pipeline("Logistic Regression", FEATURES, 600).fit(ready)
+    read = models.read_features(fitted, ready, FEATURES)
+    assert read and len(read) < 3
+    tree = models.create_pipeline(
+        models.assembler(FEATURES, "features"), DecisionTreeClassifier(labelCol="label")).fit(ready)
+    assert models.read_features(tree, ready, FEATURES) == models.read_features(fitted.stages[-1], ready, FEATURES) == FEATURES
+    got = models.permutation_importances(fitted, ready, FEATURES, "id", 3)
+    assert "Generate explode([%s])" % ",".join(read) in got._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(models, "read_features", lambda model, df, features: list(features))
+    want = models.permutation_importances(fitted, ready, FEATURES, "id", 3)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_shuffles_are_permutations():
     for total in (1, 2, 3, 7, 64, 65, 1000):
         every = [models.shuffled_places(np.arange(total), total, 42, r) for r in range(6)]
