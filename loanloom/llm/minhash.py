@@ -7,7 +7,8 @@ band; texts that agree in a band meet in its bucket.
 
 Texts with one set of shingles are one class and only its first text goes on.  In a bucket
 every class is compared with the bucket's first one, so a group of copies costs as many
-comparisons as it has members.  Classes of one bucket that are still in different components
+comparisons as it has members; in large buckets some turns with other classes for the first one
+follow.  Classes of one bucket that are still in different components
 after that are compared too, unless counts of their shingles rule it out, so no link is
 lost.  A band says nothing final: a pair counts only if the full sets of shingles agree.
 """
@@ -61,6 +62,8 @@ def signatures(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 #: Parts of all shingles; a set is odd or even in each of them.
 PARTS = 1024
+#: Classes of a bucket that are all compared at once; turns with pivots that larger ones have before.
+LARGE, TURNS = 32, 4
 
 SETS = ("id long, tk long, doc_id long, n long, f1 long, f2 long, bands array<long>, s1 long, s2 long, "
         "odd array<long>")
@@ -224,29 +227,78 @@ def _links(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
         "num", "text"), "bodies")
     good = stage(verified(pairs, bodies, size, percent), "links")
     roots = components(good)
-    rest = stage(_open_pairs(members, classes, roots, plausible, percent).join(
-        pairs, ["a", "b"], "left_anti"), "pairs")
+    rows = _open_rows(members, classes, roots)
+    tried = pairs
+    for turn in range(TURNS):
+        met = stage(_pivot_pairs(rows, roots, turn, plausible, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
+        links = stage(verified(met, bodies, size, percent), "links")
+        if links.isEmpty():
+            break
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+        tried = tried.unionByName(met)
+    rest = stage(_open_pairs(rows, roots, plausible, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
     more = stage(verified(rest, bodies, size, percent), "links")
-    return components(good.unionByName(more))
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
 
-def _open_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame, plausible, percent: int) -> DataFrame:
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` of buckets (``bucket``, ``num``) with the ``root`` of their component."""
+    return rows.join(roots.withColumnRenamed("node", "num"), "num", "left").withColumn(
+        "root", F.coalesce("root", "num"))
+
+
+def _mixed(rooted: DataFrame) -> DataFrame:
+    """Rows of buckets that more than one component is in."""
+    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter(
+        "r0 < r1").select("bucket")
+    return rooted.join(mixed, "bucket")
+
+
+def _open_rows(members: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``bucket``, its number of classes ``m``, and ``num`` and ``x`` of those whose bucket is mixed."""
+    labelled = stage(_rooted(members.select("bucket", "m", "num", "n", "s1", "s2"), roots), "labelled")
+    return stage(_mixed(labelled).join(classes.select("num", "odd"), "num").select(
+        "bucket", "m", "num", F.struct("num", "n", "s1", "s2", "odd").alias("x")), "open")
+
+
+def _possible(x: str, y: str, percent: int):
+    """Sets that can still be linked: two of them differ in at least as many shingles as there are
+    parts in which one is odd and the other even; where that is too many, the pair falls
+    without being looked at."""
+    apart = sum((F.bit_count(F.col(f"{x}.odd")[i].bitwiseXOR(F.col(f"{y}.odd")[i])) for i in range(1, PARTS // 64)),
+                F.bit_count(F.col(f"{x}.odd")[0].bitwiseXOR(F.col(f"{y}.odd")[0])))
+    return (100 + percent) * apart <= (100 - percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+
+
+def _pair():
+    return F.least("x.num", "y.num").alias("a"), F.greatest("x.num", "y.num").alias("b")
+
+
+def _pivot_pairs(rows: DataFrame, roots: DataFrame, turn: int, plausible, percent: int) -> DataFrame:
+    """Pairs (``a``, ``b``) of every class in a large mixed bucket with one that its hash picks,
+    if that is in another component.
+
+    Copies with edits of their own may be linked with most others but not with the bucket's first
+    one.  Every turn has other pivots, and a class lies in many buckets, so it meets
+    members enough to join its group, with as many comparisons as a bucket has classes.
+    """
+    large = _mixed(_rooted(rows.filter(F.col("m") > LARGE), roots))
+    picked = large.groupBy("bucket").agg(F.min_by("num", F.xxhash64("bucket", "num", F.lit(turn))).alias("num"))
+    pivots = large.join(picked, ["bucket", "num"]).select("bucket", F.col("root").alias("other"), F.col("x").alias("y"))
+    return large.join(pivots, "bucket").filter(
+        (F.col("root") != F.col("other")) & plausible("x", "y") & _possible("x", "y", percent)).select(*_pair()).distinct()
+
+
+def _open_pairs(rows: DataFrame, roots: DataFrame, plausible, percent: int) -> DataFrame:
     """Pairs (``a``, ``b``) of one bucket and two components that can still be linked.
 
-    Copies with edits of their own are like the bucket's first class and less so like each
-    other.  Two sets differ in at least as many shingles as there are parts in which one is
-    odd and the other even; where that is too many, the pair falls without being looked at.
+    Classes of a bucket's most frequent component are not compared with each other, only the
+    others with them and among themselves.
     """
-    labelled = stage(members.select("bucket", "num", "n", "s1", "s2").join(
-        roots.withColumnRenamed("node", "num"), "num", "left").withColumn(
-        "root", F.coalesce("root", "num")), "labelled")
-    mixed = labelled.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter(
-        "r0 < r1").select("bucket")
-    left = stage(labelled.join(mixed, "bucket").join(classes.select("num", "odd"), "num").select(
-        "bucket", "root", F.struct("num", "n", "s1", "s2", "odd").alias("x")), "open")
-    pairs = left.join(left.select("bucket", F.col("root").alias("other"), F.col("x").alias("y")), "bucket")
-    apart = sum((F.bit_count(F.col("x.odd")[i].bitwiseXOR(F.col("y.odd")[i])) for i in range(1, PARTS // 64)),
-                F.bit_count(F.col("x.odd")[0].bitwiseXOR(F.col("y.odd")[0])))
-    bound = (100 + percent) * apart <= (100 - percent) * (F.col("x.n") + F.col("y.n"))
-    return pairs.filter((F.col("root") < F.col("other")) & plausible("x", "y") & bound).select(
-        F.least("x.num", "y.num").alias("a"), F.greatest("x.num", "y.num").alias("b")).distinct()
+    left = stage(_mixed(_rooted(rows.select("bucket", "num", "x"), roots)).select("bucket", "root", "x"), "mixed")
+    most_of = left.groupBy("bucket", "root").agg(F.count("*").alias("k")).groupBy("bucket").agg(
+        F.max_by("root", "k").alias("main"))
+    others = left.join(most_of, "bucket").filter("root <> main")
+    pairs = others.join(left.select("bucket", F.col("root").alias("other"), F.col("x").alias("y")), "bucket")
+    new = (F.col("other") == F.col("main")) | (F.col("root") < F.col("other"))
+    return pairs.filter(new & plausible("x", "y") & _possible("x", "y", percent)).select(*_pair()).distinct()

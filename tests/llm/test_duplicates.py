@@ -119,6 +119,27 @@ def test_chains_reach_the_smallest_id(spark, documents):
         **{i: 0 for i in range(1, 41)}, 101: 100}
 
 
+def test_copies_that_resemble_few_of_each_other_meet_in_turns(documents, monkeypatch):
+    """Three edits each: one pair in six is linked, so many aren't linked with a bucket's first one."""
+    rng = random.Random(5)
+    base, rows = [f"w{i}" for i in range(250)], []
+    for i in range(500):
+        words = list(base)
+        for k in rng.sample(range(5, 245), 3):
+            words[k] = f"x{i}y{k}"
+        rows.append((i, " ".join(words)))
+    compared, verified = [], minhash.verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(minhash, "verified", counted)
+    got = rows_of(minhash.near_duplicates(documents(rows)), "n_shingles", "component_id")
+    assert got == brute.components(rows, 5, 80)
+    assert sum(compared[1:]) < len(rows)
+
+
 def test_signatures_estimate_similarity():
     import numpy as np
 
