@@ -27,7 +27,7 @@ from loanloom.plans.scoring import (
     with_expression,
     with_model,
 )
-from loanloom.session import shared_path
+from loanloom.session import shared_path, stage
 from loanloom.sources import tables
 from loanloom.sources.models import load_checkpoint, save_checkpoint
 from loanloom.streaming.scoring import start_decision_stream, start_scoring
@@ -178,9 +178,9 @@ def scoring_features(spark, sf_dir):
     return out.select(F.col("__sk_id_curr").alias("sk_id_curr"), *SELECTED_FEATURES)
 
 
-def _record_stream(spark, sf_dir):
+def _record_stream(spark, records):
     path = shared_path(spark, "records")
-    requests(spark, sf_dir).write.json(path)
+    records.write.json(path)
     return tables.read_applications(spark, path, stream=True)
 
 
@@ -188,7 +188,7 @@ def _record_stream(spark, sf_dir):
 def stream_scored(spark, sf_dir):
     """JSON records as a stream, decisions and refused records in two sinks."""
     decisions, refused, log = (shared_path(spark, n) for n in ("scored", "refused", "log"))
-    run = start_scoring(_record_stream(spark, sf_dir), probability(), decisions, refused, log)
+    run = start_scoring(_record_stream(spark, requests(spark, sf_dir)), probability(), decisions, refused, log)
     run.awaitTermination()
     return _flat(spark.read.parquet(decisions).drop("batch"))
 
@@ -196,7 +196,7 @@ def stream_scored(spark, sf_dir):
 @query("stream_refused", "SELECT sk_id_curr, errors FROM checked WHERE errors <> ''")
 def stream_refused(spark, sf_dir):
     decisions, refused, log = (shared_path(spark, n) for n in ("scored", "refused", "log"))
-    run = start_scoring(_record_stream(spark, sf_dir), probability(), decisions, refused, log)
+    run = start_scoring(_record_stream(spark, requests(spark, sf_dir)), probability(), decisions, refused, log)
     run.awaitTermination()
     return spark.read.parquet(refused).select(
         "sk_id_curr", F.concat_ws("; ", "errors").alias("errors"))
@@ -206,7 +206,7 @@ def stream_refused(spark, sf_dir):
 SELECT loan_approval, count(*) AS n FROM decision GROUP BY 1""")
 def stream_decision_counts(spark, sf_dir):
     path, log = shared_path(spark, "scored"), shared_path(spark, "log")
-    start_decision_stream(_record_stream(spark, sf_dir), probability(), path, log).awaitTermination()
+    start_decision_stream(_record_stream(spark, requests(spark, sf_dir)), probability(), path, log).awaitTermination()
     return spark.read.parquet(path).groupBy("loan_approval").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -218,9 +218,9 @@ _MODEL_SQL = _DECISION_SQL.replace("FROM valid v)", """FROM (SELECT * EXCLUDE (p
     OVER (PARTITION BY code_gender, flag_own_car) AS p FROM valid) v)""")
 
 
-def _stored_tree(spark, sf_dir):
+def _stored_tree(spark, records):
     """Prepare the valid records, fit a tree on them, store it and load it again."""
-    prepared = preprocess(split_valid(requests(spark, sf_dir))[0])
+    prepared = preprocess(split_valid(records)[0])
     man, car = F.col("code_gender") == 1, F.col("flag_own_car") == 1
     # sibling leaves predict different labels, else the tree would merge them
     below = F.when(car & man, 3).when(car, 9).when(man, 6).otherwise(2)
@@ -228,7 +228,8 @@ def _stored_tree(spark, sf_dir):
     tree = models.create_pipeline(
         FeatureNameSanitizer(inputCols=SELECTED_FEATURES), models.assembler(_FLAGS, models.CHOSEN),
         DecisionTreeClassifier(labelCol=models.LABEL, featuresCol=models.CHOSEN, maxDepth=2))
-    fitted = tree.fit(prepared.withColumn(models.LABEL, label))
+    # the fit reads its rows several times
+    fitted = tree.fit(stage(prepared.select(*SELECTED_FEATURES, label.alias(models.LABEL)), "prepared"))
     folder = shared_path(spark, "models")
     save_checkpoint(fitted, "Flag Tree", folder)
     return with_model(load_checkpoint("Flag Tree", folder))
@@ -236,7 +237,8 @@ def _stored_tree(spark, sf_dir):
 
 @query("model_scored_decisions", _MODEL_SQL + " SELECT * FROM decision")
 def model_scored_decisions(spark, sf_dir):
-    return _flat(score_applications(requests(spark, sf_dir), _stored_tree(spark, sf_dir))[0])
+    records = stage(requests(spark, sf_dir), "records")
+    return _flat(score_applications(records, _stored_tree(spark, records))[0])
 
 
 @query("model_scored_outcomes", _MODEL_SQL + """
@@ -244,7 +246,8 @@ SELECT sk_id_curr, 'decision' AS outcome FROM decision
 UNION ALL SELECT sk_id_curr, 'refused' AS outcome FROM checked WHERE errors <> ''""")
 def model_scored_outcomes(spark, sf_dir):
     """Every application once, as a decision or as a refusal."""
-    decisions, refused = score_applications(requests(spark, sf_dir), _stored_tree(spark, sf_dir))
+    records = stage(requests(spark, sf_dir), "records")
+    decisions, refused = score_applications(records, _stored_tree(spark, records))
     return decisions.select("sk_id_curr", F.lit("decision").alias("outcome")).unionByName(
         refused.select("sk_id_curr", F.lit("refused").alias("outcome")))
 
@@ -252,6 +255,7 @@ def model_scored_outcomes(spark, sf_dir):
 @query("stream_model_scored", _MODEL_SQL + " SELECT * FROM decision")
 def stream_model_scored(spark, sf_dir):
     decisions, refused, log = (shared_path(spark, n) for n in ("scored", "refused", "log"))
-    score = _stored_tree(spark, sf_dir)
-    start_scoring(_record_stream(spark, sf_dir), score, decisions, refused, log).awaitTermination()
+    records = stage(requests(spark, sf_dir), "records")
+    score = _stored_tree(spark, records)
+    start_scoring(_record_stream(spark, records), score, decisions, refused, log).awaitTermination()
     return _flat(spark.read.parquet(decisions).drop("batch"))

@@ -133,6 +133,24 @@ def test_a_stored_model_scores(records, spark):
     assert [r["sk_id_curr"] for r in refused.collect()] == [40]
 
 
+def test_records_are_made_once_for_fit_and_stream(records, spark, monkeypatch):
+    """The joins behind the records run once, however often the fit and the stream read them."""
+    from loanloom.plans import scoring_queries
+
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(number):
+        made.add(1)
+        return True
+
+    rows = records(*[{"amt_credit": 5000.0 + 900 * i, "age": 20 + i, "code_gender": "MF"[i % 2], "flag_own_car": "YNN"[i % 3]}
+                     for i in range(40)], {"age": 9})
+    counted = rows.where(F.udf(seen, "boolean").asNondeterministic()("sk_id_curr"))
+    monkeypatch.setattr(scoring_queries, "requests", lambda *_: counted)
+    assert scoring_queries.stream_model_scored(spark, "").count() == 40
+    assert made.value == 41
+
+
 def test_lines_that_are_no_records_keep_their_text(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"sk_id_curr": 3, "amt_credit": "many"\nno json\n')
     _, refused = decide(tables.read_applications(spark, str(tmp_path)))
