@@ -5,6 +5,8 @@ feature, the range of its values, how many rows have it and the smallest row num
 Blocks are summed up into nodes until few are left.  Any pattern of missing values is searched
 on the same blocks: only the features that a searching row has count towards the bounds, and a
 feature that a block has in some rows only counts towards neither its least nor its distance.
+Cuts by a feature that searching rows lack would make them look into both sides, so its spread
+weighs as much as the share of the rows with gaps that have it; this steers speed alone.
 Bounds and distances use the same operations in the same order and rounding keeps their order,
 so a block that is passed over cannot hold a neighbour, ties included.
 """
@@ -59,12 +61,14 @@ def _arrays(matrix: np.ndarray) -> pa.Array:
 # ---- building -------------------------------------------------------------------------------
 
 
-def _widest(x: np.ndarray) -> tuple[int, float] | None:
-    """The feature with the widest spread and its median; None where no value differs."""
+def _widest(x: np.ndarray, weight: np.ndarray | None = None) -> tuple[int, float] | None:
+    """The feature with the widest weighted spread and its median; None where no value differs."""
     spread = np.full(x.shape[1], -1.0)
     some = ~np.isnan(x).all(axis=0)
     if some.any():
         spread[some] = np.nanmax(x[:, some], axis=0) - np.nanmin(x[:, some], axis=0)
+    if weight is not None and (weight * spread > 0).any():
+        spread = weight * spread
     axis = int(spread.argmax())
     if not spread[axis] > 0:
         return None
@@ -74,14 +78,14 @@ def _widest(x: np.ndarray) -> tuple[int, float] | None:
     return axis, cut
 
 
-def _coarse_cuts(sample: np.ndarray, leaves: int) -> list[tuple[int, float] | None]:
+def _coarse_cuts(sample: np.ndarray, leaves: int, weight: np.ndarray | None = None) -> list[tuple[int, float] | None]:
     """Cuts of a full binary tree, breadth first; None where a side can't be cut further."""
     cuts: list[tuple[int, float] | None] = []
     level = [sample]
     while 2 * len(level) <= leaves:
         following = []
         for part in level:
-            cut = _widest(part) if len(part) > 1 else None
+            cut = _widest(part, weight) if len(part) > 1 else None
             cuts.append(cut)
             right = part[:, cut[0]] > cut[1] if cut else np.zeros(len(part), bool)
             following += [part[~right], part[right]]
@@ -100,7 +104,7 @@ def _leaf_of(x: np.ndarray, cuts: Sequence[tuple[int, float] | None]) -> np.ndar
     return place - len(cuts)
 
 
-def _cut(x: np.ndarray, rows: np.ndarray, most: int) -> Iterator[np.ndarray]:
+def _cut(x: np.ndarray, rows: np.ndarray, most: int, weight: np.ndarray | None = None) -> Iterator[np.ndarray]:
     """``rows`` in k-d order, at most ``most`` at a time."""
     todo = [rows]
     while todo:
@@ -108,7 +112,7 @@ def _cut(x: np.ndarray, rows: np.ndarray, most: int) -> Iterator[np.ndarray]:
         if len(part) <= most:
             yield part
             continue
-        cut = _widest(x[part])
+        cut = _widest(x[part], weight)
         if cut is None:
             yield from (part[i:i + most] for i in range(0, len(part), most))
             continue
@@ -116,14 +120,14 @@ def _cut(x: np.ndarray, rows: np.ndarray, most: int) -> Iterator[np.ndarray]:
         todo += [part[right], part[~right]]
 
 
-def _blocks_of(x: np.ndarray, most: int) -> Iterator[np.ndarray]:
+def _blocks_of(x: np.ndarray, most: int, weight: np.ndarray | None = None) -> Iterator[np.ndarray]:
     """Rows of a chunk by block: rows with the same features together unless they are few."""
     gone = np.isnan(x)
     starts = [0, *(np.flatnonzero((gone[1:] != gone[:-1]).any(axis=1)) + 1), len(x)]
     few: list[np.ndarray] = []
     for a, b in zip(starts[:-1], starts[1:], strict=True):
         if 2 * (b - a) >= most:
-            yield from _cut(x, np.arange(a, b), most)
+            yield from _cut(x, np.arange(a, b), most, weight)
             continue
         if few and sum(map(len, few)) + b - a > most:
             yield np.concatenate(few)
@@ -155,7 +159,7 @@ def _summary_columns(summaries: list[tuple]) -> list[pa.Array]:
             pa.array(rows, pa.int64()), _arrays(np.array(first, dtype=np.int64))]
 
 
-def _pack_blocks(n: int, k: int, most: int, chunk: int):
+def _pack_blocks(n: int, k: int, most: int, chunk: int, weight: np.ndarray):
     def pack(batches):
         kept_x: list[np.ndarray] = []
         kept_numbers: list[np.ndarray] = []
@@ -165,7 +169,7 @@ def _pack_blocks(n: int, k: int, most: int, chunk: int):
             kept_x.clear()
             kept_numbers.clear()
             packed, sums = [], []
-            for rows in _blocks_of(x, most):
+            for rows in _blocks_of(x, most, weight):
                 rows = rows[np.argsort(numbers[rows], kind="stable")]
                 packed.append((numbers[rows].tobytes(), np.ascontiguousarray(x[rows]).tobytes()))
                 sums.append(_summary(x[rows], numbers[rows], k))
@@ -312,8 +316,8 @@ def _wanted_nodes(x, reach, upto, nodes: _Nodes, k: int, probe: bool):
 
 
 def _packs(ids, x, reach, upto, nodes: _Nodes, k: int, probe: bool) -> Iterator[pa.RecordBatch]:
-    for a in range(0, len(ids), SLICE):
-        part = slice(a, a + SLICE)
+    # rows that lie close together want the same nodes
+    for part in _cut(x, np.arange(len(ids)), SLICE):
         limits, numbers = reach[part].copy(), upto[part].copy()
         keep = _wanted_nodes(x[part], limits, numbers, nodes, k, probe)
         out = []
@@ -435,18 +439,21 @@ class DonorIndex:
         numbered = stage(
             donors.repartitionByRange("id", "x").sortWithinPartitions("id", "x")
             .select(F.monotonically_increasing_id().alias("number"), "x", "mask"), "numbered")
-        total = numbered.count()
+        gappy = F.instr("mask", "0") > 0
+        total, gaps, *have = numbered.agg(F.count(F.lit(1)), F.count_if(gappy), *[
+            F.count_if(gappy & (F.substring("mask", i + 1, 1) == "1")) for i in range(width)]).first()
+        weight = np.array(have) / gaps if gaps else None
         cuts: list = []
         if total > chunk:
             share = min(1.0, CUT_ROWS / total)
             rows = numbered.where(F.pmod(F.xxhash64("number"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
             sample = _matrix(rows.select("x").toArrow().column("x").combine_chunks(), width)
-            cuts = _coarse_cuts(sample, min(COARSE_LEAVES, max(2, total // chunk)))
+            cuts = _coarse_cuts(sample, min(COARSE_LEAVES, max(2, total // chunk)), weight)
         laid = (
             with_leaf(numbered, width, cuts).repartitionByRange("mask", "leaf", "number")
             .sortWithinPartitions("mask", "leaf", "number").select("number", "x"))
         blocks = stage(
-            laid.mapInArrow(_pack_blocks(width, k, block_rows, chunk),
+            laid.mapInArrow(_pack_blocks(width, k, block_rows, chunk, weight),
                             f"numbers binary, values binary, {SUMMARY}")
             .select(F.monotonically_increasing_id().alias("node"), "*"), "blocks")
         levels = []
@@ -484,7 +491,9 @@ class DonorIndex:
         top = self.levels[-1].first()
         if top is None:
             return spark.createDataFrame([], "id bigint, feature int, value double")
-        laid = with_leaf(rows, self.width, self.cuts).repartitionByRange("mask", "leaf", "id")
+        # a searching row is short and its search long: the number of tasks must not follow the bytes
+        tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        laid = with_leaf(rows, self.width, self.cuts).repartitionByRange(tasks, "mask", "leaf", "id")
         rows = stage(laid.sortWithinPartitions("mask", "leaf", "id").select("id", "x", "open"), "searching")
         nodes = _Nodes.from_row(top.asDict(), self.width, self.k)
         done = None

@@ -111,6 +111,17 @@ def test_order_cuts_every_row_once():
     assert not donors._leaf_of(np.ones((4, 3)), donors._coarse_cuts(np.ones((9, 3)), 4)).any()
 
 
+def test_blocks_are_cut_by_what_searching_rows_have(spark):
+    rng = random.Random(9)
+    rows = [{"id": i, "a": rng.uniform(0, 1), "b": 0.0, "c": 1.0, "d": rng.uniform(0, 1000)} for i in range(400)]
+    gaps = [{**r, "id": 400 + r["id"], "d": None} for r in rows[:40]]
+    got, model = filled(spark, [*rows, *gaps], gaps, **SMALL)
+    assert all(got[i]["d"] == pytest.approx(v) for (i, f), v in brute([*rows, *gaps], gaps, NAMES, 3).items())
+    # d is wider, but no row with a gap has it
+    whole = model.index.blocks.where(F.col("have")[3] == F.col("rows"))
+    assert whole.agg(F.max(F.col("high")[0] - F.col("low")[0])).first()[0] < 0.2
+
+
 def test_stored_index_finds_the_same(spark, tmp_path):
     rows = gappy("spread")
     got, model = filled(spark, rows, rows, **SMALL)
