@@ -89,7 +89,8 @@ def bootstrap_replicates(hist: DataFrame, replicates: int = 500, seed: int = 42)
     are cut, so any partitioning gives the same replicates.  The cost is linear in the values.
     A block's pairs need its own values and the draws before it, which come down the tree.
     """
-    own = hist.select("feature", "part", "value", "n0", "n1", F.lit(1).cast("bigint").alias("n"))
+    # written first: the sides of the prefix sum read different columns, each would count the table anew
+    own = stage(hist.select("feature", "part", "value", "n0", "n1", F.lit(1).cast("bigint").alias("n")), "histogram")
     values = stage(prefix_sum(own, ["feature"], "value", ["n"]).select(
         "feature", "value", "n0", "n1", F.expr(f"before_n div {LEAF}L").alias("node")), "bootstrap")
     blocks = values.groupBy("feature", "node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
@@ -104,7 +105,10 @@ def bootstrap_replicates(hist: DataFrame, replicates: int = 500, seed: int = 42)
             "feature": feature, "replicate": np.arange(replicates, dtype="int32"), "m0": w[0].sum(axis=1),
             "m1": w[1].sum(axis=1), "won": (w[0] * (below + w[1] / 2)).sum(axis=1)})
 
-    drawn = values.groupBy("feature", "node").cogroup(
+    # a block is short and its draws long: the number of tasks must not follow the bytes
+    spark = hist.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    drawn = values.repartition(tasks, "feature", "node").groupBy("feature", "node").cogroup(
         _shared_out(blocks, replicates, seed).groupBy("feature", "node")).applyInPandas(
         draw, "feature string, replicate int, m0 bigint, m1 bigint, won double")
     sums = drawn.groupBy("feature", "replicate").agg(

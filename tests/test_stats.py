@@ -167,6 +167,25 @@ def test_bootstrap_draws_whole_classes(spark, monkeypatch):
     assert np.mean(got) == pytest.approx(np.mean(direct), abs=0.02) and np.std(got) == pytest.approx(np.std(direct), rel=0.25)
 
 
+def test_bootstrap_counts_the_table_once(spark, monkeypatch):
+    monkeypatch.setattr(resampling, "LEAF", 3)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(v):
+        seen.add(1)
+        return v
+
+    df = spark.range(300).select(
+        counted(F.col("id") % 101 / 10.0).alias("x"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    hist = class_histogram(df, ["x"], "y", ranges=6)
+    start = seen.value
+    hist.collect()
+    once = seen.value - start
+    assert resampling.bootstrap_replicates(hist, 20, 5).count() == 20
+    assert once >= 300 and seen.value - start == 2 * once
+
+
 def test_exact_tail_for_small_and_large_groups():
     from collections import Counter
     from itertools import combinations
