@@ -74,6 +74,11 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def orders(spark: SparkSession, sf_dir: str) -> int:
+    """Number of orders, about that of applications."""
+    return read_table(spark, sf_dir, "orders").count()
+
+
 def split_tables(apps: DataFrame) -> tuple[DataFrame, DataFrame]:
     train = apps.where("dataset = 'train'").drop("dataset")
     return train, apps.where("dataset = 'test'").drop("dataset")

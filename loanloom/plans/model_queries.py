@@ -9,11 +9,11 @@ from loanloom.operators import models, sampling, tuning
 from loanloom.operators.features import create_derived_features
 from loanloom.operators.metrics import METRICS
 from loanloom.operators.quantiles import exact_quantiles
-from loanloom.plans.applications import applications, split_tables
+from loanloom.plans.applications import applications, orders, split_tables
 from loanloom.plans.quality_queries import rounded
 from loanloom.plans.registry import query
 from loanloom.plans.training import ESSENTIAL, TrainingFlow
-from loanloom.session import shared_path, stage
+from loanloom.session import dealt, shared_path, stage
 from loanloom.sources.models import load_checkpoint, save_checkpoint
 from loanloom.sources.tables import submission
 
@@ -26,8 +26,8 @@ FEATURES = ["amt_income_total", "amt_credit", "amt_annuity", "amt_goods_price",
 def splits(spark, sf_dir, features=FEATURES):
     """All rows in the three parts of the stratified split; gaps hold the training part's medians."""
     apps = create_derived_features(applications(spark, sf_dir))
-    # the split reads its table several times: the joins are run once
-    table = stage(apps.select("sk_id_curr", TARGET, *features), "applications")
+    # the split reads its table several times: the joins are run once, and fits pass over equal parts
+    table = stage(dealt(apps.select("sk_id_curr", TARGET, *features), orders(spark, sf_dir)), "applications")
     parts = stage(sampling.stratified_split(table, TARGET, "sk_id_curr"), "split")
     middle = exact_quantiles(parts.where("split = 'train'"), features, [0.5])
     filled = parts.withColumns({f: F.coalesce(present(f), F.lit(middle[f][0])) for f in features})
