@@ -172,6 +172,91 @@ def test_odd_language_leaves_its_band(spark):
     assert both[0] == pytest.approx(both[1])
 
 
+def test_no_byte_is_folded(documents):
+    """Symbols say which bytes they came from, and texts that differ in case, digits or tails are told apart."""
+    import numpy as np
+    import pyarrow as pa
+
+    from loanloom.llm.text import strings
+
+    back = {tuple(int(v) for v in row if v != 255): chr(b) for b, row in enumerate(quality.SYMBOLS[:0x80])}
+    assert len(back) == 0x80
+    every = [chr(i) for i in range(0x80)] + ["é", "è", "漢", "字", "😀", "Ж"]
+    symbols = quality.spelled(strings(pa.array([*every, "", "a漢B"])))
+    spelt = [tuple(symbols.data[a:b].tolist()) for a, b in zip(symbols.offsets, symbols.offsets[1:])]
+    assert len(set(spelt)) == len(spelt) and spelt[-1] == spelt[97] + spelt[130] + spelt[66]
+    assert all(back[x] == c for x, c in zip(spelt, every[:0x80]))
+    pairs = [("a river 1 é 漢", "A RIVER 1 é 漢"), ("in 1234 days", "in 5678 days"), ("漢漢漢", "字字字")]
+    for one, other in pairs:
+        keys = [np.sort(quality.grams(quality.spelled(strings(pa.array([x]))))) for x in (one, other)]
+        assert not np.array_equal(*keys)
+
+
+def test_model_grows_with_the_corpus_and_sees_case(documents):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(3000)]
+    half = documents([(i, " ".join(words[i * 50:i * 50 + 50])) for i in range(30)])
+    whole = documents([(i, " ".join(words[i * 50:i * 50 + 50])) for i in range(60)])
+    n = [quality.count_grams(d.select("lang", "text")).count() for d in (half, whole)]
+    assert n[1] > 1.8 * n[0]
+    plain = "the river ran past a small old town and nobody in it knew the name of the river".split() * 4
+    rows = [(i, " ".join(rng.sample(plain, len(plain)))) for i in range(60)]
+    rows.append((100, "".join(c.upper() if rng.random() < 0.5 else c for c in rows[0][1])))
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(documents(rows), ["doc_id"]).select("carried.doc_id", "kept").collect()}
+    assert not kept[100] and sum(kept.values()) >= 58
+
+
+def test_entropy_against_plain_python(documents):
+    """Modified Kneser-Ney by hand, and the same from a language that is cut into ranges."""
+    import math
+    from collections import Counter
+
+    import pyarrow as pa
+
+    from loanloom.llm.text import strings
+
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices(["the", "Cat", "sat", "on", "é12", "漢字", "mat."], k=rng.randint(0, 30))) for _ in range(40)]
+    n = quality.ORDER
+
+    def symbols(text):
+        return [0] * (n - 1) + quality.spelled(strings(pa.array([text]))).data.tolist()
+
+    top = Counter(tuple(s[i:i + n]) for s in map(symbols, texts) for i in range(len(s) - n + 1))
+    levels = [top]
+    while len(next(iter(levels[-1]))) > 1:
+        levels.append(Counter(g[1:] for g in levels[-1]))
+    stored = []
+    for level in levels:
+        t = [sum(c == i for c in level.values()) for i in range(1, 5)]
+        y = t[0] / (t[0] + 2 * t[1]) if t[0] else 0.5
+        cut = [max(0.1, min(i - 0.1, i - (i + 1) * y * t[i] / max(t[i - 1], 1))) for i in (1, 2, 3)]
+        every, held = Counter(), Counter()
+        for g, c in level.items():
+            every[g[:-1]] += c
+            held[g[:-1]] += cut[min(c, 3) - 1]
+        stored.append((level, cut, every, held))
+
+    def p(g, at=0):
+        if at == n:
+            return 1 / 64
+        level, cut, every, held = stored[at]
+        context, lower = g[:-1], p(g[1:], at + 1)
+        own = (level[g] - cut[min(level[g], 3) - 1]) / every[context] if g in level else 0
+        return own + held[context] / every[context] * lower if context in every else lower
+
+    want = {}
+    for i, text in enumerate(texts):
+        s = symbols(text)
+        want[i] = -sum(math.log(p(tuple(s[k:k + n]))) for k in range(len(s) - n + 1)) / max(1, len(text.encode()))
+    docs = documents(list(enumerate(texts))).select("doc_id", "lang", "text")
+    model = quality.fit(docs.select("lang", "text"))
+    for cut in (10**6, 60):
+        got = {r["doc_id"]: r["entropy"] for r in quality.score(docs, model, cut=cut).collect()}
+        assert got == pytest.approx(want)
+    assert len(quality._ranges(model, docs.first()["lang"], 60)) > 2
+
+
 PII = [
     (1, None), (2, ""), (3, "mail me: a.b+c@x-y.example.org. or a@b..c or x@y.z@w.v.u"),
     (4, "ip 1.2.3.4 and 256.1.1.1 and 1.2.3.4.5.6.7.8, 01.002.3.255x"),
