@@ -58,6 +58,33 @@ def test_feature_importances_without_the_deep_trees(rows):
     assert set(got) == set(FEATURES) and sum(got.values()) == pytest.approx(1) and got["c"] == 0
 
 
+def test_rows_go_only_where_a_node_waits_for_them():
+    rng = np.random.default_rng(5)
+    bins, cls = rng.integers(0, 32, (500, 2)).astype(np.uint8), rng.integers(0, 3, 500).astype(np.uint8)
+    upper = forest.Upper.roots(2)
+    first = upper.add(1, 0, 9, 1.0, [0, 1])
+    below = upper.add(first + 1, 1, 20, 1.0, [1, 1])
+    codes, every = forest._codes(bins, cls, 3), np.arange(500)
+    got = {node: set(own.tolist()) for node, own in upper.way([first, below + 1]).rows(1, codes, 3, every)}
+    low = bins[:, 0] <= 9
+    assert got == {first: set(every[low].tolist()), below + 1: set(every[~low & (bins[:, 1] > 20)].tolist())}
+    assert upper.way([below]).trees == [1] and not list(upper.way([below]).rows(0, codes, 3, every))
+    upper.prune()
+    assert upper.says.tolist()[1] == -1 and upper.gains(2, 2).tolist() == [[0, 0], [1, 0]]
+
+
+def test_many_classes_and_cuts():
+    """Best cuts against all cuts."""
+    rng = np.random.default_rng(6)
+    counts = rng.integers(0, 4, (5, 40, 6)).astype(float) * (rng.random((5, 40, 6)) < 0.4)
+    gain, cut = forest._best_cut(counts)
+    for k in range(40):
+        own = counts[:, k]
+        gini = lambda c: (c.sum(axis=1) ** 2).sum() / max(c.sum(), 1)
+        every = [gini(own[:, :i + 1]) + gini(own[:, i + 1:]) - gini(own) for i in range(5)]
+        assert gain[k] == pytest.approx(max(*every, 0)) and (gain[k] == 0 or every[cut[k]] == pytest.approx(gain[k]))
+
+
 def test_draws_are_poisson():
     n = np.concatenate([forest.drawn(42, t, np.arange(20_000)) for t in range(5)])
     assert n.mean() == pytest.approx(1, abs=0.02) and n.var() == pytest.approx(1, abs=0.03)
