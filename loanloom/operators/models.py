@@ -113,7 +113,7 @@ def model_pipeline(
                 regParam=1.0 / (INVERSE_REGULARISATION * rows)),
         )
     if name == "Decision Tree":
-        selector = DecisionTreeClassifier(**common, maxDepth=DEEPEST_TREE)
+        selector = DeepForest(1, DEEPEST_TREE, seed, bagged=False, pruned=True)
         last = DecisionTreeClassifier(**weighted, maxDepth=DEPTH, minInstancesPerNode=MIN_LEAF)
     elif name == "Random Forest":
         selector = DeepForest(trees, DEEPEST_TREE, seed)

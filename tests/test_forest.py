@@ -58,6 +58,30 @@ def test_feature_importances_without_the_deep_trees(rows):
     assert set(got) == set(FEATURES) and sum(got.values()) == pytest.approx(1) and got["c"] == 0
 
 
+def test_the_selector_of_the_single_tree_counts_what_the_library_counts(rows):
+    """Splits below which all leaves predict the same class don't count, whoever grows them."""
+    whole = models.assembler(["a", "d"], "few").transform(rows)
+    want = models.importances_of(DecisionTreeClassifier(labelCol="label", featuresCol="few", maxDepth=30).fit(whole))
+    for few in (forest.FEW, 300, 50):
+        got = DeepForest(1, bagged=False, pruned=True, few=few).importances(whole, "few", "label")
+        assert got == pytest.approx(want, abs=1e-9)
+    assert DeepForest(1, bagged=False).importances(whole, "few", "label") != pytest.approx(want, abs=1e-9)
+    alike = rows.withColumn("label", F.lit(1.0))
+    assert DeepForest(1, bagged=False, pruned=True).importances(alike, models.RAW, "label") == [0, 0, 0, 0]
+
+
+def test_the_driver_holds_no_deep_tree(rows, monkeypatch):
+    """A fully grown tree of these rows has hundreds of nodes; the driver knows the upper ones."""
+    seen = []
+    split = DeepForest._upper
+    monkeypatch.setattr(DeepForest, "_upper", lambda *a: seen.append(split(*a)) or seen[-1])
+    selector = models.model_pipeline("Decision Tree", FEATURES, 3000).getStages()[2]
+    deep = DecisionTreeClassifier(labelCol="label", featuresCol=models.RAW, maxDepth=30).fit(rows)
+    selector.classifier.few = 500
+    selector.fit(rows)
+    assert 1 < len(seen[0][0].tree) < 40 < deep.numNodes / 5
+
+
 def test_rows_go_only_where_a_node_waits_for_them():
     rng = np.random.default_rng(5)
     bins, cls = rng.integers(0, 32, (500, 2)).astype(np.uint8), rng.integers(0, 3, 500).astype(np.uint8)
